@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,7 +67,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 8 << 2
         if not batch.num_rows:
             continue
         column = batch.column(batch.schema.get_field_index(text))
-        sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        sizes = np.asarray(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
         part = (np.cumsum(sizes) - sizes) // max_bytes
         edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
         for a, b in zip(edges, edges[1:], strict=False):

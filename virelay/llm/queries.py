@@ -6,13 +6,40 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sentencepiece_agenda, token_pack
+from . import langid, line_dedup, sentencepiece_agenda, token_pack
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines found in ten or more documents, dropped from all of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = line_dedup.drop_frequent_lines(docs, min_docs=10, batches=line_dedup.file_batches(docs, 4))
+    return cut.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP1_SQL = r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, generate_subscripts(ls, 1) AS pos, unnest(ls) AS line FROM d),
+k AS (SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(f.key) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE f.key IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN f USING (key) GROUP BY doc_id
+"""
+
+
+def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rank-order language predictions; learned from documents that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1).alias("held_out")
+    profiles = langid.train(docs.filter(~F.coalesce(held, F.lit(True))))
+    return langid.predict(docs.select("doc_id", held, "text"), profiles, keep=["doc_id", "held_out"])
+
+
 def op7_token_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids in bit-packed files, read back as per-document digests."""
     docs = table(spark, sf_dir, "documents")
@@ -28,8 +55,10 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op7_token_pack": op7_token_pack,
     "op8_sentencepiece": op8_sentencepiece,
+    "op9_langid": op9_langid,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, line_dedup, sentencepiece_agenda, token_pack
+from . import html_text, langid, line_dedup, rotated_codes, sentencepiece_agenda, token_pack
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,17 @@ def op9_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", held, "text"), profiles, keep=["doc_id", "held_out"])
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
+def op6_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of all vectors for each vector whose id is divisible by 20."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return rotated_codes.nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
+
+
 def op7_token_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids in bit-packed files, read back as per-document digests."""
     docs = table(spark, sf_dir, "documents")
@@ -56,6 +67,8 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_html_text": op2_html_text,
+    "op6_rotated_codes": op6_rotated_codes,
     "op7_token_pack": op7_token_pack,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_langid": op9_langid,

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunk_cache import ChunkCache
+from .chunk_cache import ChunkIds, Odd, packed
 from .common import slices
 
 MARK = "▁"
@@ -51,7 +51,9 @@ class AgendaEncoder:
             raise ValueError("only models with leading word marks and without normalisation are supported")
         self._split_lines = not any("\n" in p for p in self.ids)
         self._check, self._seen = check, 0
-        self._cache = ChunkCache(self._encode)
+        self._new: list[tuple[str, list[int]]] = []
+        self._first, self._spaced, self._any = ChunkIds(self._line_start), ChunkIds(self._after_space), ChunkIds(self._chunk, 100_000)
+        self._newline = array("I", self.segment("\n")).tobytes()
 
     def segment(self, chunk: str) -> list[int]:
         """The ids of one chunk, whose spaces are word marks already."""
@@ -94,26 +96,38 @@ class AgendaEncoder:
                     out.append(self.unknown)
         return out
 
-    def _encode(self, chunks: list[str]) -> list[bytes]:
-        found = [self.segment(c) for c in chunks]
-        if self._check:
-            picked = [k for k in range(-self._seen % self._check, len(chunks), self._check) if chunks[k][0] == MARK]
-            said = self.library.encode([chunks[k][1:].replace(MARK, " ") for k in picked], num_threads=1)
-            for k, ids in zip(picked, said, strict=True):
-                if len(chunks[k]) > 1 and ids != found[k]:
-                    raise AssertionError(f"the library encodes {chunks[k]!r} as {ids}, the agenda as {found[k]}")
-        self._seen += len(chunks)
-        return [array("I", x).tobytes() for x in found]
-
-    def chunks(self, text: str) -> list[str]:
-        if not text:
-            return []
-        if self._split_lines and "  " not in text and text[0] != " " and text[-1] != " " and MARK not in text and "\0" not in text and "\n " not in text and " \n" not in text:
-            return (MARK + text.replace(" ", "\0" + MARK).replace("\n", "\0\n\0")).split("\0")
-        return RUNS.findall(MARK + text.replace(" ", MARK))
+    def _chunk(self, chunk: str) -> bytes:
+        ids = self.segment(chunk)
+        self._seen += 1
+        if self._check and chunk[0] == MARK and len(chunk) > 1 and self._seen % self._check == 0:
+            self._new.append((chunk, ids))
+        return array("I", ids).tobytes()
+
+    def _line_start(self, chunk: str) -> bytes:
+        if MARK in chunk or not self._split_lines:
+            raise Odd
+        return self._chunk(chunk) if chunk else b""
+
+    def _after_space(self, chunk: str) -> bytes:
+        if not chunk or MARK in chunk or not self._split_lines:
+            raise Odd
+        return self._chunk(MARK + chunk)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.frombuffer(x, "<u4") for x in self._cache.ids([self.chunks(t) for t in texts])]
+        out = []
+        for t in texts:
+            try:  # the mark that opens a text is that of a space before it
+                ids = packed(" " + t, self._first, self._spaced, self._newline) if t else b""
+            except Odd:
+                ids = b"".join(map(self._any.__getitem__, RUNS.findall(MARK + t.replace(" ", MARK))))
+            out.append(np.frombuffer(ids, "<u4"))
+        if self._new:
+            said = self.library.encode([c[1:].replace(MARK, " ") for c, _ in self._new], num_threads=1)
+            for (c, ids), theirs in zip(self._new, said, strict=True):
+                if ids != theirs:
+                    raise AssertionError(f"the library encodes {c!r} as {theirs}, the agenda as {ids}")
+            self._new = []
+        return out
 
     def decode(self, ids: list[np.ndarray]) -> list[str]:
         return self.library.decode([x.tolist() for x in ids], num_threads=1)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .chunk_cache import ChunkCache
+from .chunk_cache import ChunkIds, Odd, packed
 from .common import shared_dir, slices
 
 MAGIC = b"VTOK1\0\0\0"
@@ -39,7 +39,7 @@ BLOCK = 8192
 #: A chunk may end before a lone space, and before and after a lone newline: no
 #: pre-token of the byte-level pattern reaches over these places.
 CUTS = re.compile(r"(?<=\S)(?= \S)|(?<=\S)(?=\n\S)|(?<=\S\n)(?=\S)")
-ODD = re.compile(r"\s\s|[^\S \n]|^\s|\s$|\x00")
+WORD = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?%#$*&|]{1,8})?")
 
 
 def bits_for(vocabulary: int) -> int:
@@ -162,7 +162,7 @@ class ByteBpe:
     """Encodes with the tokenizers library, chunk by chunk.
 
     Texts are cut only where the vocabulary's pre-tokenizer always cuts, and the
-    library encodes each distinct chunk once per worker; the ids are those of
+    library encodes each frequent chunk once per worker; the ids are those of
     ``Tokenizer.encode(text, add_special_tokens=False)``.
     """
 
@@ -171,23 +171,45 @@ class ByteBpe:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self._cache = ChunkCache(self._encode)
-
-    def _encode(self, chunks: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        for a in range(0, len(chunks), 4096):
-            found = self.tokenizer.encode_batch_fast(chunks[a : a + 4096], add_special_tokens=False)
-            out += [array("I", e.ids).tobytes() for e in found]
-        return out
-
-    @staticmethod
-    def chunks(text: str) -> list[str]:
-        if ODD.search(text):
-            return CUTS.split(text)
-        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+        self._model = self.tokenizer.model
+        # Byte-level vocabularies write bytes that are no printable Latin-1 as U+0100 and up, in order.
+        shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        self._letters = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in shown)}
+        self._first, self._spaced, self._any = ChunkIds(self._line_start), ChunkIds(self._after_space), ChunkIds(self._whole, 100_000)
+        self._tails = ChunkIds(self._whole, 50_000)
+        self._newline = self._whole("\n")
+
+    def _whole(self, chunk: str) -> bytes:
+        return array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
+
+    def _line_start(self, chunk: str) -> bytes:
+        return self._word("", chunk)
+
+    def _after_space(self, chunk: str) -> bytes:
+        return self._word(" ", chunk)
+
+    def _word(self, space: str, chunk: str) -> bytes:
+        """A Latin word, perhaps with punctuation behind it, is one or two pre-tokens,
+        which go to the library's model at once; all else goes through its whole encoding."""
+        if m := WORD.fullmatch(chunk):
+            stem, tail = m.groups()
+            stem = space + stem
+            mapped = stem.replace(" ", "\u0120") if stem.isascii() else stem.encode().decode("latin-1").translate(self._letters)
+            ids = array("I", [t.id for t in self._model.tokenize(mapped)]).tobytes()
+            return ids + self._tails[tail] if tail else ids
+        if not chunk or chunk[0].isspace() or chunk[-1].isspace():
+            raise Odd
+        return self._whole(space + chunk)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.frombuffer(x, "<u4") for x in self._cache.ids([self.chunks(t) for t in texts])]
+        out = []
+        for t in texts:
+            try:
+                ids = packed(t, self._first, self._spaced, self._newline) if t else b""
+            except Odd:
+                ids = b"".join(map(self._any.__getitem__, CUTS.split(t)))
+            out.append(np.frombuffer(ids, "<u4"))
+        return out
 
 
 _encoders: dict[str, ByteBpe] = {}

@@ -118,9 +118,11 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", order_c
     the rows are, so only counts by language and n-gram are exchanged.
     """
     rows = df.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.xxhash64(F.col(order_col).cast("string")).alias("h")).filter("text is not null and lang is not null")
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    share = (F.lit(float(per_lang)) / F.col("n")) * F.lit(float(1 << 30))
-    picked = rows.join(sizes.select("lang", share.alias("share")), "lang").filter(F.pmod("h", F.lit(1 << 30)) < F.col("share")).select("lang", "text")
+    sizes = rows.groupBy("lang").count().collect()  # one row for each language
+    if not sizes:
+        return Profiles({}, size)
+    share = F.create_map(*[F.lit(x) for r in sizes for x in (r.lang, int(min(1.0, per_lang / r["count"]) * (1 << 30)))])
+    picked = rows.filter(F.pmod("h", F.lit(1 << 30)) < share[F.col("lang")]).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, tuple[np.ndarray, np.ndarray]] = {}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, langid, line_dedup, rotated_codes, sentencepiece_agenda, token_pack
+from . import html_text, jaccard_join, langid, line_dedup, rotated_codes, sentencepiece_agenda, token_pack
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,12 @@ def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose four-word shingle sets have a similarity of 0.85 or more."""
+    docs = table(spark, sf_dir, "documents")
+    return jaccard_join.jaccard_classes(docs, width=4, num=85, den=100).withColumnRenamed("id", "doc_id")
+
+
 def op6_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of all vectors for each vector whose id is divisible by 20."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
@@ -68,6 +74,7 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_html_text": op2_html_text,
+    "op4_jaccard_join": op4_jaccard_join,
     "op6_rotated_codes": op6_rotated_codes,
     "op7_token_pack": op7_token_pack,
     "op8_sentencepiece": op8_sentencepiece,

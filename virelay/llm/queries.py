@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, jaccard_join, langid, line_dedup, rotated_codes, sentencepiece_agenda, token_pack
+from . import html_text, jaccard_join, langid, line_dedup, rotated_codes, sentencepiece_agenda, suffix_dedup, token_pack
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +71,12 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the bytes of 200-byte strings that recur."""
+    kept = suffix_dedup.drop_repeats(table(spark, sf_dir, "documents"), length=200, digest=True)
+    return kept.withColumnsRenamed({"id": "doc_id", "kept": "kept_sha256"})
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_html_text": op2_html_text,
@@ -79,6 +85,7 @@ QUERIES = {
     "op7_token_pack": op7_token_pack,
     "op8_sentencepiece": op8_sentencepiece,
     "op9_langid": op9_langid,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL}

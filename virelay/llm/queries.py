@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, jaccard_join, langid, line_dedup, rotated_codes, sentencepiece_agenda, suffix_dedup, token_pack
+from . import html_text, jaccard_join, langid, line_dedup, rotated_codes, sentencepiece_agenda, simhash_decontam, suffix_dedup, token_pack
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +51,11 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_classes(docs, width=4, num=85, den=100).withColumnRenamed("id", "doc_id")
 
 
+def op5_simhash_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items in documents, each with its best window."""
+    return simhash_decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).withColumnRenamed("id", "doc_id")
+
+
 def op6_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of all vectors for each vector whose id is divisible by 20."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
@@ -81,6 +86,7 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_html_text": op2_html_text,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_simhash_decontam": op5_simhash_decontam,
     "op6_rotated_codes": op6_rotated_codes,
     "op7_token_pack": op7_token_pack,
     "op8_sentencepiece": op8_sentencepiece,

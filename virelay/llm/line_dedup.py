@@ -15,7 +15,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, drop_stored, shared_dir
+from .common import ascii_lower, drop_stored, shared_dir, stored
 
 FANOUT = 4
 #: What is stripped from both ends of a line to make its key.
@@ -99,12 +99,19 @@ class LineRuns:
 
 
 def file_batches(df: DataFrame, batches: int) -> list[DataFrame]:
-    """A table read from Parquet files as at most ``batches`` tables of whole files."""
+    """The rows of a table that is read from files as at most ``batches`` tables, each of whole files.
+
+    Filters of ``df`` hold; files are pruned by their path.  A table from
+    elsewhere is one batch.
+    """
     files = sorted(df.inputFiles())
     n = min(batches, len(files))
     if n < 2:
         return [df]
-    return [df.sparkSession.read.schema(df.schema).parquet(*files[len(files) * k // n : len(files) * (k + 1) // n]) for k in range(n)]
+    groups = [files[len(files) * k // n : len(files) * (k + 1) // n] for k in range(n)]
+    path = F.col("_metadata.file_path")
+    # What no group names, if anything, is in the last one: no row is lost.
+    return [*[df.filter(path.isin(g)) for g in groups[:-1]], df.filter(~path.isin([f for g in groups[:-1] for f in g]))]
 
 
 def drop_frequent_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 10,
@@ -131,7 +138,9 @@ def drop_frequent_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "
     rows = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"))
     lines = rows.select(*known, F.posexplode(F.transform(lines_of(text), line_key)).alias("pos", "key"))
     lines = lines.filter("key <> ''").select("id", "t1", "t2", "pos", *hashes(F.col("key")))
-    gone = lines.join(runs.settled(), ["h1", "h2"]).groupBy("id", "t1", "t2").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
+    # Written first, so that the exchange below stands alone and a hot key's lines can be split.
+    settled = stored(runs.settled(), "settled-lines")
+    gone = lines.join(settled, ["h1", "h2"]).groupBy("id", "t1", "t2").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
 
     keyed = rows.select(*known, "row")
     on = keyed["id"].eqNullSafe(gone["id"]) & (keyed["t1"] == gone["t1"]) & (keyed["t2"] == gone["t2"])

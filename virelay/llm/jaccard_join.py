@@ -210,19 +210,8 @@ def _sets(width: int):
     return run
 
 
-def jaccard_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """Per row of ``df``: id, n_shingles, component_id.
-
-    Two rows link when the Jaccard similarity of their sets of ``width``-word
-    shingles is at least num/den; ``component_id`` is the least id reachable by
-    links, its own included.
-
-    A text with fewer words is one shingle; a null text or one without words has
-    no shingle, links with nothing and is its own component.  Equal sets, repeated
-    ids and repeated rows included, are linked.  A null id never names a component
-    unless all its ids are null; other columns are not read.  An empty table gives
-    no row.
-    """
+def _classes(df: DataFrame, id_col: str, text_col: str, width: int, num: int, den: int) -> DataFrame:
+    """Per row: id, text_hash, n_shingles and root (a number for each component; null without shingles)."""
     text = F.col(text_col).cast("string")
     docs = df.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -271,11 +260,46 @@ def jaccard_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         root = stored(components(links), "jaccard-roots")
     roots = root.withColumnRenamed("node", "key")
     known = members.join(roots, "key", "left").withColumn("root", F.when(F.col("n_shingles") > 0, F.coalesce("root", "key")))
+    return known.select("id", "text_hash", "n_shingles", "root")
+
+
+def jaccard_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """Per row of ``df``: id, n_shingles, component_id.
+
+    Two rows link when the Jaccard similarity of their sets of ``width``-word
+    shingles is at least num/den; ``component_id`` is the least id reachable by
+    links, its own included.
+
+    A text with fewer words is one shingle; a null text or one without words has
+    no shingle, links with nothing and is its own component.  Equal sets, repeated
+    ids and repeated rows included, are linked.  A null id never names a component
+    unless all its ids are null; other columns are not read.  An empty table gives
+    no row.
+    """
+    known = _classes(df, id_col, text_col, width, num, den)
     least = known.filter("root is not null").groupBy("root").agg(F.min("id").alias("least"))
     out = known.join(least, "root", "left")
     return out.select("id", "n_shingles", F.coalesce("least", "id").alias("component_id"))
 
 
+def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """``df`` with one row of each component of :func:`jaccard_classes`: that of least id.
+
+    Of rows with equal id the one with the least hash of its text stays; rows
+    equal in id and text are one.  Rows without shingles link with nothing and
+    stay.  All columns keep their names and values.
+    """
+    known = _classes(df, id_col, text_col, width, num, den)
+    found = known.filter("root is not null").groupBy("root").agg(F.min(F.struct("id", "text_hash")).alias("of")).select("of.id", "of.text_hash")
+    alone = known.filter("root is null").select("id", "text_hash")
+    keys = [F.xxhash64("id", "text_hash").alias("_k1"), F.xxhash64(F.lit("row"), "text_hash", "id").alias("_k2")]
+    kept = found.unionByName(alone).select(*keys)
+    text = F.col(f"row.{text_col}").cast("string")
+    rows = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"))
+    rows = rows.select("row", F.col(f"row.{id_col}").cast("long").alias("id"), F.xxhash64(text).alias("text_hash")).select("row", *keys)
+    return rows.join(kept, ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"]).select("row.*")
+
+
 def _tokens(docs: DataFrame, members: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
     """key and tokens of the sets in ``pairs``, each made anew from one of its documents."""
     keys = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()

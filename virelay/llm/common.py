@@ -29,15 +29,28 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/virelay/{name}-{uuid.uuid4().hex}"
 
 
+#: Removes a query's shuffle files when it has ended, instead of when the driver collects its garbage.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a written and reread Parquet table in the shared folder.
 
     Unlike a local checkpoint it survives the loss of any executor, and it ends
-    the lineage, so that nothing above is computed twice.
+    the lineage, so that nothing above is computed twice and its shuffle files
+    can go at once.
     """
     spark = df.sparkSession
     path = shared_dir(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEAN_UP)
+        else:
+            spark.conf.set(CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

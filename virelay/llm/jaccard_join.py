@@ -8,10 +8,10 @@ segments than the slack adds the one-deletion neighbourhoods of its subsets, and
 bands whose pairs differ in one token at most index the whole set's one-deletion
 neighbourhood instead.  A cost model picks the scheme and slack of each band.
 
-Equal sets are one class from the start.  In a run of sets with one signature,
-first every set is verified against the one with most signatures shared; what is
-linked then needs no more comparing, and all pairs of a run that are still in
-different components are verified exactly.
+Equal sets are one class from the start.  The runs of sets with one signature are
+gathered under the set that shares most signatures, and the sets of each group
+are compared exactly, all with all, as products of blocks of bounded size; what
+goes on from there is a spanning forest of the links, never all pairs.
 """
 
 from __future__ import annotations
@@ -33,8 +33,8 @@ from .shingles import mix, set_hash, shingle_set
 
 #: Ratio of a band's largest to its smallest set.
 RATIO = 1.25
-#: Rounds in which runs are verified against one member; then all pairs left are.
-STARS = 2
+#: Sets and tokens of a group that are compared at once.
+BLOCK_SETS, BLOCK_TOKENS = 1024, 1 << 20
 
 
 def least_overlap(a: int, b: int, num: int, den: int) -> int:
@@ -220,46 +220,22 @@ def _classes(df: DataFrame, id_col: str, text_col: str, width: int, num: int, de
     table = stored(dealt, "jaccard-index")
     members = table.filter("member").select("id", F.col("size").cast("long").alias("n_shingles"), "key", "text_hash")
     runs = table.filter("not member").select("sig", "key", "size")
-    # The set that shares most signatures comes first in its runs; ties to the smaller key.
+    # Each run's sets meet under the one that shares most signatures (ties: the smaller key), so
+    # runs of one group of near copies mostly meet under one; every pair of a run meets there.
     shared = runs.groupBy("key").agg(F.count(F.lit(1)).alias("shared"))
-    runs = stored(runs.join(shared, "key"), "jaccard-runs")
-
-    near = lambda a, b: F.least(a, b) * den >= F.greatest(a, b) * num
-    first = F.max_by(F.struct("key", "size"), F.struct("shared", -F.col("key")))
-    links: DataFrame | None = None
-    root: DataFrame | None = None
-    for k in range(STARS + 1):
-        left = runs
-        if root is not None:
-            left = runs.join(root.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-            open_runs = left.groupBy("sig").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("sig")
-            left = stored(left.join(open_runs, "sig"), "jaccard-open")
-            if left.isEmpty():
-                break
-        if k < STARS:
-            # Verify each set against the run's first one that isn't in the component of the run's best so far.
-            pool = left
-            if root is not None:
-                best = left.groupBy("sig").agg(F.max_by("root", F.struct("shared", -F.col("key"))).alias("best"))
-                pool = left.join(best, "sig").filter("root <> best")
-            stars = pool.groupBy("sig").agg(first.alias("first"))
-            pairs = left.join(stars, "sig").filter(F.col("key") != F.col("first.key"))
-            pairs = pairs.select("key", "size", F.col("first.key").alias("other"), F.col("first.size").alias("other_size"), *(["root"] if root is not None else []))
-            if root is not None:
-                theirs = root.select(F.col("node").alias("other"), F.col("root").alias("other_root"))
-                pairs = pairs.join(theirs, "other", "left").filter(F.col("root") != F.coalesce("other_root", "other"))
-        else:
-            # Every pair of a run whose sets are in different components.
-            a = left.select("sig", "key", "size", "root")
-            b = left.select("sig", F.col("key").alias("other"), F.col("size").alias("other_size"), F.col("root").alias("other_root"))
-            pairs = a.join(b, "sig").filter("root < other_root")
-        pairs = pairs.filter(near(F.col("size"), F.col("other_size"))).select(F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b")).distinct()
-        pairs = stored(pairs, "jaccard-pairs")
-        good = _verified(pairs, _tokens(docs, members, pairs, width), num, den)
-        links = stored(good if links is None else links.unionByName(good), "jaccard-links")
-        root = stored(components(links), "jaccard-roots")
-    roots = root.withColumnRenamed("node", "key")
-    known = members.join(roots, "key", "left").withColumn("root", F.when(F.col("n_shingles") > 0, F.coalesce("root", "key")))
+    lead = runs.join(shared, "key").groupBy("sig").agg(F.max_by("key", F.struct("shared", "key")).alias("lead"))
+    groups = stored(runs.join(lead, "sig").groupBy("lead", "key").agg(F.first("size").alias("size")), "jaccard-groups")
+    sets = _tokens(docs, members, groups.select("key").distinct(), width)
+    # A group of up to BLOCK_SETS sets and BLOCK_TOKENS tokens is compared whole; larger ones in pairs of blocks.
+    sizes = groups.groupBy("lead").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("tokens")).filter("n > 1")
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK_SETS, F.col("tokens") / BLOCK_TOKENS)).cast("int")
+    dealt = groups.join(sizes.select("lead", blocks.alias("blocks")), "lead").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("lead", F.least("block", "with").alias("a"), F.greatest("block", "with").alias("b"), "key").join(sets, "key")
+    dealt = dealt.repartition(parts, "lead", "a", "b").sortWithinPartitions("lead", "a", "b", "key")
+    links = dealt.select("lead", "a", "b", "key", "tokens").mapInArrow(_compared(num, den), "a long, b long")
+    root = components(links)
+    known = members.join(root.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.when(F.col("n_shingles") > 0, F.coalesce("root", "key")))
     return known.select("id", "text_hash", "n_shingles", "root")
 
 
@@ -300,18 +276,74 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     return rows.join(kept, ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"]).select("row.*")
 
 
-def _tokens(docs: DataFrame, members: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
-    """key and tokens of the sets in ``pairs``, each made anew from one of its documents."""
-    keys = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+def _tokens(docs: DataFrame, members: DataFrame, keys: DataFrame, width: int) -> DataFrame:
+    """key and tokens of the sets of ``keys``, each made anew from one of its documents."""
     one = members.join(keys, "key").groupBy("key").agg(F.min(F.struct("id", "text_hash")).alias("of"))
     one = one.select("key", F.col("of.id").alias("one_id"), F.col("of.text_hash").alias("one_hash"))
     texts = docs.join(one, (F.col("text_hash") == F.col("one_hash")) & F.col("id").eqNullSafe(F.col("one_id")))
     return stored(texts.select("key", "text").mapInArrow(_sets(width), "key long, tokens array<long>").dropDuplicates(["key"]), "jaccard-sets")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs whose exact similarity reaches the threshold."""
-    a, b = (sets.select(F.col("key").alias(c), F.col("tokens").alias(f"t{c}")) for c in "ab")
-    both = pairs.join(a, "a").join(b, "b")
-    inside = F.size(F.array_intersect("ta", "tb"))
-    return both.withColumn("i", inside).filter(F.col("i") * (num + den) >= (F.size("ta") + F.size("tb")) * num).select("a", "b")
+def spanning_links(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
+    """Links of a spanning forest of some sets (ascending tokens): enough for all that link, directly or not."""
+    n = len(sets)
+    size = np.array([len(s) for s in sets])
+    if n == 2:
+        inside = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
+        return [(0, 1)] if inside * (num + den) >= int(size.sum()) * num else []
+    tokens, local, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(n), size)
+    several = times[local] > 1  # tokens of one set alone are in no intersection
+    owner, local = owner[several], local[several]
+    _, local = np.unique(local, return_inverse=True)
+    inside = np.zeros((n, n), np.float32)
+    width = max(1, (8 << 20) // n)
+    for a in range(0, int(local.max()) + 1 if len(local) else 0, width):
+        part = (local >= a) & (local < a + width)
+        has = np.zeros((n, min(width, int(local.max()) + 1 - a)), np.float32)
+        has[owner[part], local[part] - a] = 1
+        inside += has @ has.T
+    good = inside.astype(np.int64) * (num + den) >= (size[:, None] + size[None, :]) * num
+    out, left = [], np.ones(n, bool)
+    for start in range(n):
+        if not left[start]:
+            continue
+        left[start], front = False, [start]
+        while front:
+            i = front.pop()
+            for j in np.flatnonzero(good[i] & left).tolist():
+                left[j] = False
+                out.append((i, j))
+                front.append(j)
+    return out
+
+
+def _compared(num: int, den: int):
+    """Links of each (lead, a, b) group of rows in order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, keys, sets = None, [], []
+        found: list[tuple[int, int]] = []
+
+        def close() -> None:
+            if len(keys) > 1:
+                found.extend((keys[i], keys[j]) for i, j in spanning_links(sets, num, den))
+
+        for batch in batches:
+            tokens = batch.column("tokens")
+            edge, flat = tokens.offsets.to_numpy(), tokens.values.to_numpy()
+            groups = zip(*(batch.column(c).to_pylist() for c in ("lead", "a", "b", "key")), strict=True)
+            for k, (lead, a, b, key) in enumerate(groups):
+                if (lead, a, b) != at:
+                    close()
+                    at, keys, sets = (lead, a, b), [], []
+                keys.append(key)
+                sets.append(flat[edge[k] : edge[k + 1]].view(np.uint64).copy())
+            if len(found) > 10_000:
+                yield pa.RecordBatch.from_pydict({"a": [x[0] for x in found], "b": [x[1] for x in found]})
+                found.clear()
+        close()
+        if found:
+            yield pa.RecordBatch.from_pydict({"a": [x[0] for x in found], "b": [x[1] for x in found]})
+
+    return run

@@ -264,12 +264,30 @@ RUNS = "part int, run binary, k1 long, k2 long, first long, last long"
 
 
 def _anchor_rows(length: int):
+    """Rows of anchors; ``deal`` is what they are dealt out by.
+
+    An anchor that a batch has several times is repeated for certain: its rows
+    are dealt out evenly, as told, and one that isn't passed on (place -1) goes
+    with the anchor, to meet those of other batches.  So a hot anchor is few rows.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _cut(batches):
             k1, k2 = batch.column("k1").to_numpy(), batch.column("k2").to_numpy()
-            for of, hashed, place, first, last in document_anchors(batch.column("text").to_pylist(), length):
-                packed = place << 16 | (place - last) << 8 | (place - first)
-                yield pa.RecordBatch.from_pydict({"anchor": hashed.view(np.int64), "k1": k1[of], "k2": k2[of], "packed": packed})
+            found = [(hashed.view(np.int64), of, place << 16 | (place - last) << 8 | (place - first)) for of, hashed, place, first, last in document_anchors(batch.column("text").to_pylist(), length)]
+            if not found:
+                continue
+            anchor, of, packed = (np.concatenate(x) for x in zip(*found, strict=True))
+            _, one, back, times = np.unique(anchor, return_index=True, return_inverse=True, return_counts=True)
+            told = times[back] > 1
+            one = one[times > 1]
+            spread = (k1[of] ^ packed * np.int64(0x9E3779B97F4A7C1)) | np.int64(1)
+            yield pa.RecordBatch.from_pydict({
+                "deal": np.concatenate([np.where(told, spread, anchor), anchor[one]]),
+                "told": pa.array(np.concatenate([told, np.zeros(len(one), bool)])),
+                "k1": np.concatenate([k1[of], k1[of][one]]), "k2": np.concatenate([k2[of], k2[of][one]]),
+                "packed": np.concatenate([packed, np.full(len(one), -1)]),
+            })
 
     return run
 
@@ -281,22 +299,29 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows in anchor order, those whose anchor another row has too; one row is held from batch to batch."""
-    held, told = None, False
-    names = ("anchor", "k1", "k2", "packed")
+    """Told rows, and of the others, in anchor order, those whose anchor another row has too.
+
+    One row is held from batch to batch.
+    """
+    names = ("k1", "k2", "packed")
+    held, passed_on = None, False
     for batch in batches:
-        rows = [batch.column(c).to_numpy() for c in names]
+        told = batch.column("told").to_numpy(zero_copy_only=False)
+        if told.any():
+            yield batch.filter(batch.column("told")).select(names)
+        rows = [batch.column(c).to_numpy()[~told] for c in ("deal", *names)]
         if not len(rows[0]):
             continue
         if held is not None:
             rows = [np.concatenate([[x], y]) for x, y in zip(held, rows, strict=True)]
         same = rows[0][1:] == rows[0][:-1]
         several = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-        passed = bool(several[-1]) or (len(rows[0]) == 1 and told)
-        several[0] &= not told
+        passed = bool(several[-1]) or (len(rows[0]) == 1 and passed_on)
+        several[0] &= not passed_on
+        several &= rows[3] >= 0
         if several.any():
-            yield pa.RecordBatch.from_pydict({c: x[several] for c, x in zip(names[1:], rows[1:], strict=True)})
-        held, told = [x[-1] for x in rows], passed
+            yield pa.RecordBatch.from_pydict({c: x[several] for c, x in zip(names, rows[1:], strict=True)})
+        held, passed_on = [x[-1] for x in rows], passed
 
 
 def _sorted_runs(length: int, parts: int):
@@ -430,8 +455,8 @@ def drop_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rowid = F.col(id_col).cast("long")
     docs = df.select(rowid.alias("id"), text.cast("binary").alias("text"), F.xxhash64(rowid, text).alias("k1"), F.xxhash64(F.lit("row"), text, rowid).alias("k2"))
 
-    found = docs.select("k1", "k2", "text").mapInArrow(_anchor_rows(length), "anchor long, k1 long, k2 long, packed long")
-    shared = found.repartition(parts // 4, "anchor").sortWithinPartitions("anchor").mapInArrow(_repeated, SHARED)
+    found = docs.select("k1", "k2", "text").mapInArrow(_anchor_rows(length), "deal long, told boolean, k1 long, k2 long, packed long")
+    shared = found.repartition(parts // 4, "deal").sortWithinPartitions("deal").mapInArrow(_repeated, SHARED)
     places = shared.groupBy("k1", "k2").agg(F.collect_list("packed").alias("places"))
     runs = docs.join(places, ["k1", "k2"]).select("id", "k1", "k2", "text", "places").mapInArrow(_sorted_runs(length, parts), RUNS)
     told = runs.repartition(parts // 4, "part").sortWithinPartitions("part").mapInArrow(_merged(length), "k1 long, k2 long, first long, last long")

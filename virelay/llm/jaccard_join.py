@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import slices, stored
 from .components import components
-from .shingles import mix, set_hash, shingle_set
+from .shingles import mix, packed_set, set_hash, shingle_set, unpacked_set
 
 #: Ratio of a band's largest to its smallest set.
 RATIO = 1.25
@@ -73,18 +73,27 @@ def _allocated(number: int, low: int, high: int, num: int, den: int) -> Band:
     t = _differ(low, high, num, den)
     if t <= 1:
         return Band(number, low, high, t, 1, 0)
-    best, cost = None, math.inf
-    for slack in range(0, 12):
+    best, cost, slack = None, math.inf, 0
+    while slack <= 8 + t // 2:
         m = t + 1 + slack
         empty = (1 - 1 / m) ** low
-        beyond = 1 - sum(math.comb(m, k) * empty**k * (1 - empty) ** (m - k) for k in range(slack + 1))
+        beyond = _beyond(m, empty, slack)
         # Subsets of one token are little selective: they count three times.
-        price = m * (1 + 2 * math.exp(-low / m) * low / m) + max(0.0, beyond) * (low + m)
+        price = m * (1 + 2 * math.exp(-low / m) * low / m) + beyond * (low + m)
         if price < cost:
             best, cost = Band(number, low, high, t, m, slack), price
+        slack += max(1, slack // 8)
     return best
 
 
+def _beyond(n: int, p: float, k: int) -> float:
+    """Chance of more than ``k`` of ``n`` independent events of chance ``p``."""
+    if p <= 0:
+        return 0.0
+    logs = [math.lgamma(n + 1) - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * math.log(p) + (n - i) * math.log1p(-p) for i in range(k + 1)]
+    return max(0.0, 1 - sum(math.exp(x) for x in logs))
+
+
 _bands: dict[tuple[int, int], list[Band]] = {}
 
 
@@ -114,7 +123,7 @@ def signatures(tokens: np.ndarray, num: int, den: int) -> np.ndarray:
         name = np.uint64((band.number << 32) & 0xFFFFFFFFFFFFFFFF)
         if band.whole:
             if band.differ:  # else only equal sets link
-                out += [mix(sums[-1] - mixed + name), mix(sums[-1:] + name)]
+                out += [mix(sums[-1:] + name), *([mix(sums[-1] - mixed + name)] if n > 1 else [])]
             continue
         m = band.segments
         edge = np.append(np.searchsorted(tokens, _edges(m)), n)
@@ -204,8 +213,8 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 2 << 20):
-            sets = [shingle_set(t or "", width).view(np.int64) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_pydict({"key": batch.column("key"), "tokens": pa.array(sets, pa.list_(pa.int64()))})
+            sets = [shingle_set(t or "", width) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_pydict({"key": batch.column("key"), "tokens": pa.array(map(packed_set, sets), pa.binary()), "bits": pa.array(map(bitmap, sets), pa.binary())})
 
     return run
 
@@ -227,13 +236,17 @@ def _classes(df: DataFrame, id_col: str, text_col: str, width: int, num: int, de
     groups = stored(runs.join(lead, "sig").groupBy("lead", "key").agg(F.first("size").alias("size")), "jaccard-groups")
     sets = _tokens(docs, members, groups.select("key").distinct(), width)
     # A group of up to BLOCK_SETS sets and BLOCK_TOKENS tokens is compared whole; larger ones in pairs of blocks.
+    # First by bitmaps, which tell most sets apart for certain, then those left by their tokens.
     sizes = groups.groupBy("lead").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("tokens")).filter("n > 1")
     blocks = F.ceil(F.greatest(F.col("n") / BLOCK_SETS, F.col("tokens") / BLOCK_TOKENS)).cast("int")
     dealt = groups.join(sizes.select("lead", blocks.alias("blocks")), "lead").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("lead", F.least("block", "with").alias("a"), F.greatest("block", "with").alias("b"), "key").join(sets, "key")
-    dealt = dealt.repartition(parts, "lead", "a", "b").sortWithinPartitions("lead", "a", "b", "key")
-    links = dealt.select("lead", "a", "b", "key", "tokens").mapInArrow(_compared(num, den), "a long, b long")
+    dealt = dealt.select(F.xxhash64("lead", F.least("block", "with"), F.greatest("block", "with")).alias("cell"), "key", "size")
+    dealt = dealt.join(sets.select("key", "bits"), "key").repartition(parts, "cell").sortWithinPartitions("cell", "key")
+    close = stored(dealt.select("cell", "key", "size", "bits").mapInArrow(_told_apart(num, den), "cell long, part long, key long"), "jaccard-close")
+    cells = close.select(F.xxhash64("cell", "part").alias("cell"), "key").join(sets.select("key", "tokens"), "key")
+    cells = cells.repartition(parts, "cell").sortWithinPartitions("cell", "key")
+    links = cells.select("cell", "key", "tokens").mapInArrow(_compared(num, den), "a long, b long")
     root = components(links)
     known = members.join(root.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.when(F.col("n_shingles") > 0, F.coalesce("root", "key")))
     return known.select("id", "text_hash", "n_shingles", "root")
@@ -253,7 +266,8 @@ def jaccard_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     no row.
     """
     known = _classes(df, id_col, text_col, width, num, den)
-    least = known.filter("root is not null").groupBy("root").agg(F.min("id").alias("least"))
+    # Written first, so that the rows of a large component can be split in the join.
+    least = stored(known.filter("root is not null").groupBy("root").agg(F.min("id").alias("least")), "jaccard-least")
     out = known.join(least, "root", "left")
     return out.select("id", "n_shingles", F.coalesce("least", "id").alias("component_id"))
 
@@ -277,11 +291,11 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
 
 
 def _tokens(docs: DataFrame, members: DataFrame, keys: DataFrame, width: int) -> DataFrame:
-    """key and tokens of the sets of ``keys``, each made anew from one of its documents."""
+    """key and packed tokens of the sets of ``keys``, each made anew from one of its documents (or equal rows)."""
     one = members.join(keys, "key").groupBy("key").agg(F.min(F.struct("id", "text_hash")).alias("of"))
     one = one.select("key", F.col("of.id").alias("one_id"), F.col("of.text_hash").alias("one_hash"))
     texts = docs.join(one, (F.col("text_hash") == F.col("one_hash")) & F.col("id").eqNullSafe(F.col("one_id")))
-    return stored(texts.select("key", "text").mapInArrow(_sets(width), "key long, tokens array<long>").dropDuplicates(["key"]), "jaccard-sets")
+    return stored(texts.select("key", "text").mapInArrow(_sets(width), "key long, tokens binary, bits binary"), "jaccard-sets")
 
 
 def spanning_links(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
@@ -318,31 +332,90 @@ def spanning_links(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int
     return out
 
 
+def bitmap(tokens: np.ndarray) -> bytes:
+    """A set's tokens hashed to as many bits as it has tokens, or up to twice as many (64 at least)."""
+    width = max(64, 1 << max(0, len(tokens) - 1).bit_length())
+    has = np.zeros(width, bool)
+    has[((tokens >> np.uint64(20)) & np.uint64(width - 1)).astype(np.int64)] = True
+    return np.packbits(has).tobytes()
+
+
+def folded(bits: bytes, size: int) -> np.ndarray:
+    """A bitmap as words, folded to ``size`` bytes."""
+    return np.bitwise_or.reduce(np.frombuffer(bits, np.uint8).reshape(-1, size), axis=0).view(np.uint64)
+
+
+def close_parts(sizes: list[int], bits: list[bytes], num: int, den: int) -> np.ndarray:
+    """Numbers the sets so that those that may be similar, directly or through others, have one number.
+
+    Bits that two bitmaps don't share are tokens that the sets don't share, so a
+    pair with more of them than its sizes allow is not similar, for certain.
+    """
+    n, size = len(sizes), np.array(sizes)
+    width = min(map(len, bits))
+    words = np.array([folded(b, width) for b in bits])
+    out, left = np.full(n, -1), np.ones(n, bool)
+    for start in range(n):
+        if not left[start]:
+            continue
+        left[start], out[start], front = False, start, [start]
+        while front:
+            i = front.pop()
+            others = np.flatnonzero(left)
+            both = size[i] + size[others]
+            most = both - 2 * -(-num * both // (num + den))
+            apart = np.bitwise_count(words[i] ^ words[others]).sum(axis=1, dtype=np.int64)
+            near = others[(apart <= most) & (np.minimum(size[i], size[others]) * den >= np.maximum(size[i], size[others]) * num)]
+            left[near] = False
+            out[near] = start
+            front += near.tolist()
+    return out
+
+
+def _grouped(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[tuple[int, list[tuple]]]:
+    """The rows of each cell, in order; equal rows of one key come one after another and count once."""
+    at, rows = None, []
+    for batch in batches:
+        for cell, *row in zip(batch.column("cell").to_pylist(), *(batch.column(c).to_pylist() for c in columns), strict=True):
+            if cell != at:
+                if len(rows) > 1:
+                    yield at, rows
+                at, rows = cell, []
+            if not rows or row[0] != rows[-1][0]:
+                rows.append(row)
+    if len(rows) > 1:
+        yield at, rows
+
+
+def _told_apart(num: int, den: int):
+    """Of each cell the sets that may be similar to another one: cell, part, key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple[int, int, int]] = []
+        for cell, rows in _grouped(batches, ("key", "size", "bits")):
+            keys = [r[0] for r in rows]
+            parts = close_parts([r[1] for r in rows], [r[2] for r in rows], num, den)
+            times = np.bincount(parts, minlength=len(rows))
+            found += [(cell, keys[p], k) for k, p in zip(keys, parts.tolist(), strict=True) if times[p] > 1]
+            if len(found) > 10_000:
+                yield pa.RecordBatch.from_pydict(dict(zip(("cell", "part", "key"), map(list, zip(*found, strict=True)), strict=True)))
+                found = []
+        if found:
+            yield pa.RecordBatch.from_pydict(dict(zip(("cell", "part", "key"), map(list, zip(*found, strict=True)), strict=True)))
+
+    return run
+
+
 def _compared(num: int, den: int):
-    """Links of each (lead, a, b) group of rows in order."""
+    """Links of each cell's sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, keys, sets = None, [], []
         found: list[tuple[int, int]] = []
-
-        def close() -> None:
-            if len(keys) > 1:
-                found.extend((keys[i], keys[j]) for i, j in spanning_links(sets, num, den))
-
-        for batch in batches:
-            tokens = batch.column("tokens")
-            edge, flat = tokens.offsets.to_numpy(), tokens.values.to_numpy()
-            groups = zip(*(batch.column(c).to_pylist() for c in ("lead", "a", "b", "key")), strict=True)
-            for k, (lead, a, b, key) in enumerate(groups):
-                if (lead, a, b) != at:
-                    close()
-                    at, keys, sets = (lead, a, b), [], []
-                keys.append(key)
-                sets.append(flat[edge[k] : edge[k + 1]].view(np.uint64).copy())
+        for _, rows in _grouped(batches, ("key", "tokens")):
+            found += [(rows[i][0], rows[j][0]) for i, j in spanning_links([unpacked_set(r[1]) for r in rows], num, den)]
             if len(found) > 10_000:
                 yield pa.RecordBatch.from_pydict({"a": [x[0] for x in found], "b": [x[1] for x in found]})
-                found.clear()
-        close()
+                found = []
         if found:
             yield pa.RecordBatch.from_pydict({"a": [x[0] for x in found], "b": [x[1] for x in found]})
 

@@ -1,7 +1,8 @@
-"""Sets of word shingles as sorted 64-bit hashes, computed by numpy over bytes.
+"""Sets of word shingles as sorted hashes, computed by numpy over bytes.
 
-Words are ``[^\\x20\\x09-\\x0D]+`` of the text with A-Z in lower case.  Two words or
-shingles count as equal if their 64-bit hashes are.
+Words are ``[^\\x20\\x09-\\x0D]+`` of the text with A-Z in lower case.  Two words
+count as equal if their 64-bit hashes are, two shingles if the 56 high bits of theirs
+are; the low byte is 0 and is left out where sets are packed.
 """
 
 from __future__ import annotations
@@ -80,7 +81,18 @@ def windows(words: np.ndarray, width: int) -> np.ndarray:
     total = np.full(len(words) - n + 1, np.uint64(0 if n == width else n))
     for k in range(n):
         total += words[k : len(words) - n + 1 + k] * _MULTIPLIERS[k % 64]
-    return mix(total)
+    return mix(total) & np.uint64(0xFFFFFFFFFFFFFF00)
+
+
+def packed_set(shingles: np.ndarray) -> bytes:
+    """A set in 7 bytes a shingle."""
+    return shingles.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 1:].tobytes()
+
+
+def unpacked_set(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 7, 8), np.uint8)
+    out[:, 1:] = np.frombuffer(data, np.uint8).reshape(-1, 7)
+    return out.reshape(-1).view("<u8")
 
 
 def shingle_set(text: str, width: int) -> np.ndarray:

@@ -27,11 +27,19 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def read_permissive_tsv(spark: SparkSession, path: str | list[str], schema: str) -> tuple[DataFrame, DataFrame]:
-    """A table's good rows, and the lines (``line``) that don't fit the schema."""
+    """A table's good rows, and the lines (``line``) that don't fit the schema; the header is the schema's names."""
     kind = T._parse_datatype_string(schema)
-    rows = spark.read.csv(path, sep="\t", header=True, schema=T.StructType([*kind.fields, T.StructField("_corrupt_record", T.StringType())]), mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record", nullValue="")
-    bad = F.col("_corrupt_record").isNotNull()
-    return rows.filter(~bad).drop("_corrupt_record"), rows.filter(bad).select(F.col("_corrupt_record").alias("line"))
+    full = T.StructType([*kind.fields, T.StructField("_corrupt_record", T.StringType())])
+    head = "\t".join(kind.names)
+    options = {"sep": "\t", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record", "nullValue": ""}
+    lines = spark.read.text(path).filter((F.col("value") != head) & (F.trim("value") != ""))
+    rows = lines.select("value", F.from_csv("value", ddl(full), options).alias("r"))
+    fits = (F.size(F.split("value", "\t")) == len(kind)) & F.col("r._corrupt_record").isNull()
+    return rows.filter(fits).select(*[F.col(f"r.{c}") for c in kind.names]), rows.filter(~fits).select(F.col("value").alias("line"))
+
+
+def ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
 def read_raw_hits(spark: SparkSession, path: str | list[str]) -> DataFrame:

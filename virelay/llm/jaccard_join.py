@@ -219,6 +219,11 @@ def _sets(width: int):
     return run
 
 
+def first_row():
+    """What the row of least id is least in; null ids come last."""
+    return F.struct(F.col("id").isNull(), "id", "text_hash")
+
+
 def _classes(df: DataFrame, id_col: str, text_col: str, width: int, num: int, den: int) -> DataFrame:
     """Per row: id, text_hash, n_shingles and root (a number for each component; null without shingles)."""
     text = F.col(text_col).cast("string")
@@ -280,7 +285,7 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     stay.  All columns keep their names and values.
     """
     known = _classes(df, id_col, text_col, width, num, den)
-    found = known.filter("root is not null").groupBy("root").agg(F.min(F.struct("id", "text_hash")).alias("of")).select("of.id", "of.text_hash")
+    found = known.filter("root is not null").groupBy("root").agg(F.min(first_row()).alias("of")).select("of.id", "of.text_hash")
     alone = known.filter("root is null").select("id", "text_hash")
     keys = [F.xxhash64("id", "text_hash").alias("_k1"), F.xxhash64(F.lit("row"), "text_hash", "id").alias("_k2")]
     kept = found.unionByName(alone).select(*keys)
@@ -292,7 +297,7 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
 
 def _tokens(docs: DataFrame, members: DataFrame, keys: DataFrame, width: int) -> DataFrame:
     """key and packed tokens of the sets of ``keys``, each made anew from one of its documents (or equal rows)."""
-    one = members.join(keys, "key").groupBy("key").agg(F.min(F.struct("id", "text_hash")).alias("of"))
+    one = members.join(keys, "key").groupBy("key").agg(F.min(first_row()).alias("of"))
     one = one.select("key", F.col("of.id").alias("one_id"), F.col("of.text_hash").alias("one_hash"))
     texts = docs.join(one, (F.col("text_hash") == F.col("one_hash")) & F.col("id").eqNullSafe(F.col("one_id")))
     return stored(texts.select("key", "text").mapInArrow(_sets(width), "key long, tokens binary, bits binary"), "jaccard-sets")

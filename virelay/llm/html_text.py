@@ -1,9 +1,9 @@
 """Main-text extraction by a tree-structured graphical model.
 
 Each element of a page's DOM is a binary variable: its own text is article
-content, or not.  Potentials join every element to its parent, and evidence
-(tag, words of class, id and role, amount of text, share of linked text) hangs
-on each element.  One upward and one downward pass of sum-product messages give
+content, or not.  Potentials, one table for each tag, join every element to its
+parent, and evidence (words of class, id and role, amount of text, share of
+linked text) hangs on each element.  One upward and one downward pass of sum-product messages give
 every element's content marginal; text counts if that of its element is above
 one half.  All potentials are frequencies counted on labelled pages
 (``labelled_pages``).
@@ -166,21 +166,24 @@ def evidence(page: Page) -> list[list[str]]:
     for e, n, k in zip(page.elements, chars, linked, strict=True):
         size = 0 if not n else 1 if n < 6 else 2 if n < 20 else 3 if n < 80 else 4
         share = 0 if not k else 1 if 4 * k < n else 2 if 3 * k < 2 * n else 3
-        out.append([f"tag {e.tag}", f"words {size} links {share}", *[f"hint {w}" for w in e.words]])
+        out.append([f"words {size} links {share}", *[f"hint {w}" for w in e.words]])
     return out
 
 
 @dataclass
 class TreeModel:
-    """Log potentials: of evidence for content, and of (parent state, child state)."""
+    """Log potentials of evidence for content, and potentials of (parent state, child state) by the child's tag."""
 
     weights: dict[str, float]
-    pair: tuple[tuple[float, float], tuple[float, float]]
+    pairs: dict[str, tuple[tuple[float, float], tuple[float, float]]]
+
+    def pair(self, tag: str) -> tuple[tuple[float, float], tuple[float, float]]:
+        return self.pairs.get(tag) or self.pairs[""]
 
     def marginals(self, page: Page) -> list[float]:
         """Each element's probability of being content, by sum-product on the tree."""
         elements, weigh = page.elements, self.weights.get
-        (p00, p01), (p10, p11) = self.pair
+        pairs = [self.pair(e.tag) for e in elements]
         n = len(elements)
         own = [math.exp(max(-30.0, min(30.0, sum(weigh(x, 0.0) for x in seen)))) for seen in evidence(page)]
         own[0] = 0.0  # the root is not content
@@ -188,6 +191,7 @@ class TreeModel:
         odds, to0, to1 = own[:], [1.0] * n, [1.0] * n
         for i in range(n - 1, 0, -1):
             o = 0.0 if elements[i].hidden else min(odds[i], 1e60)
+            (p00, p01), (p10, p11) = pairs[i]
             scale = 1.0 / (1.0 + o)
             to0[i], to1[i] = (p00 + p01 * o) * scale, (p10 + p11 * o) * scale
             odds[elements[i].parent] *= to1[i] / to0[i]
@@ -197,6 +201,7 @@ class TreeModel:
         for i in range(1, n):
             rest = full[elements[i].parent] * to0[i] / to1[i]  # the parent without this child
             rest = min(rest, 1e60)
+            (p00, p01), (p10, p11) = pairs[i]
             full[i] = 0.0 if elements[i].hidden else min(odds[i] * (p01 + p11 * rest) / (p00 + p10 * rest), 1e60)
         return [o / (1.0 + o) for o in full]
 
@@ -222,8 +227,8 @@ class TreeModel:
 
 def train(pages: Iterable[tuple[str, list[bool]]], smooth: float = 0.5) -> TreeModel:
     """Counts the potentials on pages with a label for each element (in page order, without the root)."""
-    seen = [Counter(), Counter()]
-    total, pair = [0, 0], [[smooth, smooth], [smooth, smooth]]
+    seen, total = [Counter(), Counter()], [0, 0]
+    counts: dict[str, list[list[float]]] = {"": [[smooth, smooth], [smooth, smooth]]}
     for source, labels in pages:
         page = parse(source)
         state = [False, *labels]
@@ -232,12 +237,16 @@ def train(pages: Iterable[tuple[str, list[bool]]], smooth: float = 0.5) -> TreeM
         for e, s, names in list(zip(page.elements, state, evidence(page), strict=True))[1:]:
             if e.hidden:
                 continue
-            pair[state[e.parent]][s] += 1
+            for tag in ("", e.tag):
+                counts.setdefault(tag, [[0.0, 0.0], [0.0, 0.0]])[state[e.parent]][s] += 1
             total[s] += 1
             seen[s].update(names)
     share = lambda s, k: (seen[s][k] + smooth) / (total[s] + 2 * smooth)
     weights = {k: math.log(share(1, k) / share(0, k)) for k in {*seen[0], *seen[1]}}
-    return TreeModel(weights, tuple(tuple(x / sum(row) for x in row) for row in pair))
+    overall = [[x / sum(row) for x in row] for row in counts[""]]
+    # A tag's table leans on that of all tags, with the weight of four elements for each state of the parent.
+    pairs = {tag: tuple(tuple((x + 4 * o) / (sum(row) + 4) for x, o in zip(row, base, strict=True)) for row, base in zip(rows, overall, strict=True)) for tag, rows in counts.items()}
+    return TreeModel(weights, pairs)
 
 
 # Labelled pages. A node is (tag, attributes, content?, children); children are nodes and strings.
@@ -301,7 +310,7 @@ def labelled_pages(count: int = 600, seed: int = 7) -> Iterator[tuple[str, list[
         return ("section", rng.choice(("", named("section", "chapter", "part"))), True, [("h2", "", True, [some(1, 5)]), ("p", "", True, [some(5, 80)])])
 
     def article() -> tuple:
-        blocks = [body_block() for _ in range(rng.randint(1, 14))]
+        blocks = [body_block() for _ in range(rng.randint(1, 14))] if rng.random() < 0.75 else [("p", "", True, [some(1, 12)]) for _ in range(rng.randint(1, 3))]
         for junk, p in ((ad, 0.2), (share, 0.25), (notice, 0.1), (side, 0.12), (form, 0.06)):
             if rng.random() < p:
                 blocks.insert(rng.randint(0, len(blocks)), junk())
@@ -309,13 +318,15 @@ def labelled_pages(count: int = 600, seed: int = 7) -> Iterator[tuple[str, list[
         head = rng.choice(([title], [title], [("header", rng.choice(("", named("entry-header", "article-header"))), True, [title, *maybe(0.5, ("p", named("byline", "author", "date", "meta", "dateline"), True, [some(2, 6)]))])], []))
         inner = [*head, *blocks, *maybe(0.12, comments())]
         kind = rng.random()
-        good = named("content", "article", "post", "entry", "story", "main-content", "article-body", "post-content", "entry-content", "body-text", "article-content", "story-body", "text", "page-content", "hentry", "articleBody", "prose")
+        good = named("content", "article", "post", "entry", "story", "main-content", "article-body", "post-body", "post-content", "entry-content", "body-text", "article-content", "story-body", "text", "page-content", "hentry", "articleBody", "prose")
         if kind < 0.4:
             return ("article", rng.choice(("", "", good)), True, inner)
         if kind < 0.55:
             return ("main", rng.choice(("", good)), True, inner)
-        if kind < 0.85:
+        if kind < 0.72:
             return ("div", good, True, inner)
+        if kind < 0.86:
+            return ("div", good, True, [*head, ("div", named("post-body", "entry-body", "article-text", "content", "body", "story-text"), True, rng.choice((blocks, [some(10, 150)])))])
         return ("article", rng.choice(("", good)), True, [("div", good, True, inner)])
 
     for _ in range(count):

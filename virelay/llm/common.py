@@ -60,6 +60,21 @@ def drop_stored(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+#: Bytes of an Arrow batch between Spark and its Python workers where rows are long.
+BATCH_BYTES = 8 << 20
+
+
+def long_rows(spark: SparkSession) -> None:
+    """Lets the session send Arrow batches of at most ``BATCH_BYTES``, so that workers' memory stays bounded.
+
+    Queries and pipelines over whole texts call it; a smaller setting stays.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = int("".join(c for c in spark.conf.get(name, "0") if c.isdigit()) or 0)
+    if not 0 < now <= BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def ascii_lower(col):
     return F.translate(col, UPPER, LOWER)
 
@@ -86,3 +101,4 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 8 << 2
         for a, b in zip(edges, edges[1:], strict=False):
             if b > a:
                 yield batch.slice(a, b - a)
+    pa.default_memory_pool().release_unused()  # workers live on and go on to other stages

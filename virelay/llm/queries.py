@@ -6,10 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, jaccard_join, langid, line_dedup, rotated_codes, sentencepiece_agenda, simhash_decontam, suffix_dedup, token_pack
+from . import html_text, jaccard_join, langid, line_dedup, pii_surrogates, rotated_codes, sentencepiece_agenda, simhash_decontam, suffix_dedup, token_pack
+
+from .common import long_rows
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    long_rows(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -45,6 +48,12 @@ def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
 
 
+def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text with surrogates for personal data and secrets."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii_surrogates.with_surrogates(docs, key=b"virelay demonstration key")
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose four-word shingle sets have a similarity of 0.85 or more."""
     docs = table(spark, sf_dir, "documents")
@@ -85,6 +94,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_html_text": op2_html_text,
+    "op3_pii_surrogates": op3_pii_surrogates,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_simhash_decontam": op5_simhash_decontam,
     "op6_rotated_codes": op6_rotated_codes,

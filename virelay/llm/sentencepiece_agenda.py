@@ -52,7 +52,7 @@ class AgendaEncoder:
         self._split_lines = not any("\n" in p for p in self.ids)
         self._check, self._seen = check, 0
         self._new: list[tuple[str, list[int]]] = []
-        self._first, self._spaced, self._any = ChunkIds(self._line_start), ChunkIds(self._after_space), ChunkIds(self._chunk, 100_000)
+        self._first, self._spaced, self._any = ChunkIds(self._line_start, 60_000), ChunkIds(self._after_space, 240_000), ChunkIds(self._chunk, 60_000)
         self._newline = array("I", self.segment("\n")).tobytes()
 
     def segment(self, chunk: str) -> list[int]:

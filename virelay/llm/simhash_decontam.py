@@ -60,14 +60,15 @@ class BlockIndex:
             values = (blocks[:, b, None] ^ masks).ravel()
             owner = np.repeat(np.arange(len(prints)), len(masks))
             order = np.argsort(values, kind="stable")
-            self._tables.append((np.searchsorted(values[order], np.arange(65537)), owner[order]))
+            self._tables.append((values[order], owner[order].astype(np.int32)))
 
     def near(self, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place in ``asked``, item) of all fingerprints at most ``radius`` bits apart, each once."""
-        blocks = asked.astype("<u8").view("<u2").reshape(-1, BLOCKS).astype(np.int64)
+        blocks = asked.astype("<u8").view("<u2").reshape(-1, BLOCKS)
         found = []
-        for b, (edge, owner) in enumerate(self._tables):
-            a, n = edge[blocks[:, b]], edge[blocks[:, b] + 1] - edge[blocks[:, b]]
+        for b, (values, owner) in enumerate(self._tables):
+            a = np.searchsorted(values, blocks[:, b])
+            n = np.searchsorted(values, blocks[:, b], side="right") - a
             who = np.repeat(np.arange(len(asked)), n)
             at = np.arange(len(who)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(a, n)
             found.append(who * len(self.prints) + owner[at])

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from virelay.llm import jaccard_join, langid, line_dedup, sentencepiece_agenda, simhash_decontam
-from virelay.llm.common import stored
+from virelay.llm.common import long_rows, stored
 
 #: Texts in no language at all score less than this; prose of any kind scores far more.
 LEAST_SCORE = 0.2
@@ -19,6 +19,7 @@ LEAST_SCORE = 0.2
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents in which no language is recognised; fills in missing languages."""
+    long_rows(spark)
     columns = docs.columns
     found = langid.predict(docs, langid.train(docs))
     kept = found.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE))

@@ -70,8 +70,8 @@ def long_rows(spark: SparkSession) -> None:
     Queries and pipelines over whole texts call it; a smaller setting stays.
     """
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    now = int("".join(c for c in spark.conf.get(name, "0") if c.isdigit()) or 0)
-    if not 0 < now <= BATCH_BYTES:
+    digits = "".join(c for c in spark.conf.get(name, None) or "" if c.isdigit())
+    if not digits or int(digits) > BATCH_BYTES:
         spark.conf.set(name, str(BATCH_BYTES))
 
 

@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import html_text, jaccard_join, langid, line_dedup, pii_surrogates, rotated_codes, sentencepiece_agenda, simhash_decontam, suffix_dedup, token_pack
-
 from .common import long_rows
 
 

@@ -336,7 +336,7 @@ def _sorted_runs(length: int, parts: int):
             for (right, left, low, high), owners in items.items():
                 part = int.from_bytes(hashlib.blake2b(right[:ANCHOR], digest_size=6).digest(), "little") % parts
                 if len(owners) > 1:
-                    told += [(part, k1, k2, p - high, p - low) for k1, k2, p in owners]
+                    told += [(k1 % parts, k1, k2, p - high, p - low) for k1, k2, p in owners]  # these only pass through: dealt evenly
                 by_part.setdefault(part, []).append((right, left, low, high, len(owners) > 1, *owners[0]))
             rows = [(part, coded_run(sorted(x))) for part, x in by_part.items()]
             n, m = len(rows), len(told)

@@ -48,3 +48,58 @@ def test_streamed_batches_equal_the_table(spark, tmp_path):
     got = spark.read.parquet(f"{tmp_path}/out").drop("batch")
     want = context.window_means(genes, ["v"], 20, 0.0)
     assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_command(spark, tmp_path):
+    from virelay.__main__ import main
+
+    (tmp_path / "p.faa").write_text("".join(f">c_{n} # {n * 1000} # {n * 1000 + 899} # 1 # x\n{'MK' * 150}\n" for n in range(1, 7)))
+    (tmp_path / "KEGG.tsv").write_text("c_1\tK1\t1.0E-30\t300.0\t300\t1\t290\n")
+    (tmp_path / "m.tsv").write_text("id\tV-score\tVL-score\tdb\tname\nK1\t1\t1\tKEGG\tx\n")
+    assert main(["annotate", "-p", f"{tmp_path}/p.faa", "-d", f"{tmp_path}/KEGG.tsv", "-o", f"{tmp_path}/out", "--metabolic", f"{tmp_path}/m.tsv"]) == 0
+    assert (tmp_path / "out/metabolic_genes_curated.tsv").exists() and (tmp_path / "out/faa/category=metabolic/confidence=all").exists()
+
+
+def test_command_refuses_wrong_inputs(capsys):
+    import pytest
+
+    from virelay.__main__ import main
+
+    for bad in (["annotate", "-d", "x", "-o", "y"], ["annotate", "-d", "x", "-o", "y", "-p", "a", "-g", "b"], ["annotate", "-d", "x", "-o", "y", "-p", "a", "-i", "nucl"]):
+        with pytest.raises(SystemExit):
+            main(bad)
+
+
+def test_stages_are_kept(spark, tmp_path):
+    from virelay.plans.resume import kept
+
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.range(3)
+
+    assert [kept(spark, f"{tmp_path}/s", build).count() for _ in range(2)] == [3, 3] and len(calls) == 1
+    (tmp_path / "s/_SUCCESS").unlink()
+    assert kept(spark, f"{tmp_path}/s", build).count() == 3 and len(calls) == 2
+
+
+def test_model_scorer(spark, tmp_path):
+    import pickle
+
+    import numpy as np
+
+    from virelay.operators import score
+
+    for name, value in (("m", Halves()), ("f", ["x"]), ("t", {"high": 0.9, "medium": 0.5})):
+        (tmp_path / name).write_bytes(pickle.dumps(value))
+    scorer = score.load_scorer(*[f"{tmp_path}/{n}" for n in "mft"])
+    rows = spark.createDataFrame([("c", 0.5)], "contig string, x double").toPandas()[["x"]]
+    assert scorer.probability(rows).tolist() == [0.5] and scorer.thresholds["high"] == 0.9 and np is not None
+
+
+class Halves:
+    def predict_proba(self, rows):
+        import numpy as np
+
+        return np.column_stack([1 - rows["x"], rows["x"]])

@@ -53,3 +53,8 @@ def missing_sequences(members: dict[str, DataFrame], proteins: DataFrame) -> Dat
         own = table.select(F.lit(name).alias("category"), F.col("protein").alias("name"))
         rows = own if rows is None else rows.unionByName(own)
     return rows.distinct().join(proteins.select("name"), "name", "left_anti").select("category", "name")
+
+
+def value_counts(df: DataFrame, column: str) -> DataFrame:
+    """Rows by value of a column: value, n."""
+    return df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))

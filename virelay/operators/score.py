@@ -44,6 +44,35 @@ class RuleScorer:
         return 1 / (1 + F.exp(-total))
 
 
+@dataclass(frozen=True)
+class ModelScorer:
+    """A trained classifier with ``predict_proba``, its ordered features and thresholds; sent to the workers once."""
+
+    model: object
+    features: list[str]
+    thresholds: dict[str, float]
+
+    def probability(self, rows: pd.DataFrame) -> pd.Series:
+        return pd.Series(self.model.predict_proba(rows)[:, 1])
+
+
+def load_scorer(model: str, features: str, thresholds: str) -> ModelScorer:
+    """A scorer from three pickled artefacts: model, feature names, thresholds by label.
+
+    ``joblib`` reads them if it is installed, else ``pickle``; only load files you trust.
+    """
+    try:
+        from joblib import load
+    except ImportError:
+        import pickle
+
+        def load(path: str):
+            with open(path, "rb") as f:
+                return pickle.load(f)
+
+    return ModelScorer(load(model), list(load(features)), dict(load(thresholds)))
+
+
 def by_mode(name: str) -> bool:
     """Flags are imputed by the mode, numbers by the median."""
     return "flank" in name or "circular" in name

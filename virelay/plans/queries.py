@@ -378,3 +378,63 @@ def gene_lengths(spark, sf_dir):
 def unique_names(spark, sf_dir):
     """Repeated names numbered."""
     return filters.unique_names(table(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("name")), "name", "event_id")
+
+
+NAMES = ("kegg", "foam", "pfam", "dbcan", "metabolic", "phrog")
+FALLBACK = ("dbcan", "kegg", "foam", "metabolic", "pfam")
+TOP_SQL = f"""u AS ({' UNION ALL '.join(f"SELECT sequence, {k} AS p, '{db}' AS db, {db.lower()}_score AS s, {db.lower()}_hmm_id AS id, {db.lower()}_description AS de FROM d" for k, db in enumerate(("KEGG", "FOAM", "Pfam", "dbCAN", "METABOLIC", "PHROG")))}),
+  t AS (SELECT sequence, id, de, db FROM (SELECT *, row_number() OVER (PARTITION BY sequence ORDER BY s DESC NULLS LAST, p) AS r FROM u WHERE s IS NOT NULL) WHERE r = 1)"""
+
+
+@query(f"""WITH {BEST_SQL}{DESC_SQL}, {TOP_SQL}
+SELECT sequence, CASE WHEN t.db = 'PHROG' THEN coalesce({', '.join(f"'\"' || {p}_hmm_id || ' ' || {p}_description || '\"'" for p in FALLBACK)}, '')
+  ELSE '"' || id || coalesce(' ' || de, '') || '"' END AS description FROM d JOIN t USING (sequence)""")
+def header_descriptions(spark, sf_dir):
+    """What stands behind a protein's name in its sequence file."""
+    rows = described_hits(spark, sf_dir)
+    rows = rows.select("*", *curate.top_hit())
+    return rows.select("sequence", report.header_description().alias("description"))
+
+
+@query("""WITH m AS (SELECT doc_id, 'metabolic' AS category, CASE quality WHEN 1 THEN 'high' WHEN 0 THEN 'medium' ELSE 'low' END AS c FROM labels WHERE toxic = 1
+UNION ALL SELECT doc_id, 'physiological', CASE quality WHEN 1 THEN 'high' WHEN 0 THEN 'medium' ELSE 'low' END FROM labels WHERE toxic = 0),
+r AS (SELECT DISTINCT category, c, m.doc_id, d.n_chars FROM m JOIN documents d USING (doc_id))
+SELECT category, c AS confidence, doc_id, n_chars FROM r UNION ALL SELECT category, 'all', doc_id, n_chars FROM r""")
+def category_sequences(spark, sf_dir):
+    """Sequences of each class by confidence, and all of them."""
+    labels = table(spark, sf_dir, "labels").withColumn("viral_origin_confidence", F.when(F.col("quality") == 1, "high").when(F.col("quality") == 0, "medium")).withColumnRenamed("doc_id", "protein")
+    labels = labels.withColumns({c: F.lit(None).cast("string") for c in ("top_hit_hmm_id", "top_hit_description", "top_hit_db", *[f"{p}_{x}" for p in FALLBACK for x in ("hmm_id", "description")])})
+    proteins = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("name"), F.col("n_chars").alias("seq"))
+    found = report.category_sequences({"metabolic": labels.filter("toxic = 1"), "physiological": labels.filter("toxic = 0")}, proteins)
+    return found.select("category", "confidence", F.col("name").alias("doc_id"), F.col("seq").alias("n_chars"))
+
+
+@query("""SELECT 'metabolic' AS category, doc_id AS name FROM documents WHERE lang = 'fr' AND doc_id NOT IN (SELECT doc_id FROM labels)""")
+def missing_sequences(spark, sf_dir):
+    """Proteins of a class without a record."""
+    docs = table(spark, sf_dir, "documents").filter("lang = 'fr'").select(F.col("doc_id").alias("protein"))
+    return report.missing_sequences({"metabolic": docs}, table(spark, sf_dir, "labels").select(F.col("doc_id").alias("name")))
+
+
+@query("""SELECT l_returnflag AS value, count(*) AS n FROM lineitem GROUP BY l_returnflag""")
+def value_counts(spark, sf_dir):
+    """Rows by value."""
+    return report.value_counts(table(spark, sf_dir, "lineitem"), "l_returnflag")
+
+
+@query(f"""WITH {GENES_SQL} SELECT contig, n, coalesce(kegg >= 8, false) OR coalesce(pfam >= 8, false) OR coalesce(phrog >= 8, false) AS flag FROM genes""")
+def any_flags(spark, sf_dir):
+    """Or of flags with gaps."""
+    genes = genes_of(spark, sf_dir).withColumns({f"{c}_flag": F.col(c) >= 8 for c in SCORES})
+    return genes.select("contig", "n", curate.any_flag(*[f"{c}_flag" for c in SCORES]).alias("flag"))
+
+
+@query("""SELECT doc_id, regexp_replace(text, '\\s', '', 'g') AS seq, 'lang ' || lang AS description FROM documents WHERE doc_id < 100""")
+def fasta_records(spark, sf_dir):
+    """Texts written as FASTA and parsed again: names, descriptions, joined sequence lines."""
+    from ..sources.fasta import parsed_records
+    from ..sources.sinks import fasta_record
+
+    docs = table(spark, sf_dir, "documents").filter("doc_id < 100")
+    written = docs.select(fasta_record(F.col("doc_id").cast("string"), F.concat(F.lit("lang "), "lang"), F.col("text")).alias("record"))
+    return parsed_records(written, F.lit("f.fa"), False).select(F.col("name").cast("long").alias("doc_id"), "seq", "description")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import contig_of, file_stem
@@ -23,7 +23,12 @@ def read_fasta(spark: SparkSession, paths: str | list[str], is_vmag: bool = Fals
     reader = spark.read.option("lineSep", "\n>")
     if extensions:
         reader = reader.option("pathGlobFilter", "*.{" + ",".join(extensions) + "}")
-    rows = reader.text(paths).select(F.col("_metadata.file_path").alias("source_file"), F.regexp_replace("value", r"^(?:﻿)?>", "").alias("record"))
+    return parsed_records(reader.text(paths).withColumnRenamed("value", "record"), F.col("_metadata.file_path"), is_vmag)
+
+
+def parsed_records(rows: DataFrame, source_file: Column, is_vmag: bool) -> DataFrame:
+    """Records (``record``: text from a ``>`` to the next one) in their parts."""
+    rows = rows.select(source_file.alias("source_file"), F.regexp_replace("record", r"^(?:\uFEFF)?>", "").alias("record"))
     head = F.regexp_replace(F.regexp_extract("record", r"^([^\r\n]*)", 1), r"\s+$", "")
     name = F.regexp_extract(head, r"^(\S*)", 1)
     body = F.regexp_replace(F.regexp_replace("record", r"^[^\r\n]*", ""), r"\s", "")

@@ -51,7 +51,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
             spark.conf.unset(CLEAN_UP)
         else:
             spark.conf.set(CLEAN_UP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes tables of :func:`stored` that nothing reads any more."""
+    for df in tables:
+        drop_stored(df.sparkSession, df.stored_at)
 
 
 def drop_stored(spark: SparkSession, path: str) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -28,7 +28,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         # Small star: u's lesser neighbours, and u, point to the least of them.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
-        edges = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        old, edges = edges, stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        discard(old, large)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break

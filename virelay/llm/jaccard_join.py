@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, stored
+from .common import discard, slices, stored
 from .components import components
 from .shingles import mix, packed_set, set_hash, shingle_set, unpacked_set
 
@@ -253,6 +253,7 @@ def _classes(df: DataFrame, id_col: str, text_col: str, width: int, num: int, de
     cells = cells.repartition(parts, "cell").sortWithinPartitions("cell", "key")
     links = cells.select("cell", "key", "tokens").mapInArrow(_compared(num, den), "a long, b long")
     root = components(links)
+    discard(groups, sets, close)
     known = members.join(root.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.when(F.col("n_shingles") > 0, F.coalesce("root", "key")))
     return known.select("id", "text_hash", "n_shingles", "root")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -93,6 +95,13 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> Iterator[str]:
         yield value or ""
 
 
+def release_memory() -> None:
+    """Gives memory that a task has freed back to the system: Python workers live on and go on to other stages."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library can
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cuts Arrow batches so that each holds about ``max_bytes`` of text, or one row.
 
@@ -109,4 +118,4 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 8 << 2
         for a, b in zip(edges, edges[1:], strict=False):
             if b > a:
                 yield batch.slice(a, b - a)
-    pa.default_memory_pool().release_unused()  # workers live on and go on to other stages
+    release_memory()

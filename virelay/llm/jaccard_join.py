@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, slices, stored
+from .common import discard, release_memory, slices, stored
 from .components import components
 from .shingles import mix, packed_set, set_hash, shingle_set, unpacked_set
 
@@ -391,6 +391,7 @@ def _grouped(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Ite
                 rows.append(row)
     if len(rows) > 1:
         yield at, rows
+    release_memory()
 
 
 def _told_apart(num: int, den: int):

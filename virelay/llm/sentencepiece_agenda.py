@@ -52,7 +52,7 @@ class AgendaEncoder:
         self._split_lines = not any("\n" in p for p in self.ids)
         self._check, self._seen = check, 0
         self._new: list[tuple[str, list[int]]] = []
-        self._first, self._spaced, self._any = ChunkIds(self._line_start, 60_000), ChunkIds(self._after_space, 240_000), ChunkIds(self._chunk, 60_000)
+        self._first, self._spaced, self._any = ChunkIds(self._line_start, 40_000), ChunkIds(self._after_space, 160_000), ChunkIds(self._chunk, 40_000)
         self._newline = array("I", self.segment("\n")).tobytes()
 
     def segment(self, chunk: str) -> list[int]:
@@ -156,7 +156,7 @@ def encode_decode(df: DataFrame, model: str, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         agenda = encoder(model, check)
-        for batch in slices(batches, "text", 4 << 20):
+        for batch in slices(batches, "text", 1 << 20):
             ids = agenda.encode([t or "" for t in batch.column("text").to_pylist()])
             lists = [x.tolist() for x in ids]
             decoded = agenda.library.decode(lists, num_threads=1)

@@ -106,6 +106,23 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.withColumnsRenamed({"id": "doc_id", "kept": "kept_sha256"})
 
 
+OP10_SQL = r"""
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (SELECT doc_id, i, b[i:i + 199] AS s FROM (SELECT doc_id, b, unnest(range(1, octet_length(b) - 198)) AS i FROM d)),
+c AS (SELECT s FROM w GROUP BY s HAVING count(*) > 1),
+h AS (SELECT doc_id, i FROM w SEMI JOIN c USING (s)),
+g AS (SELECT doc_id, i, sum(CASE WHEN i <= before + 200 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS k
+      FROM (SELECT *, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM h)),
+sp AS (SELECT doc_id, min(i) AS a, max(i) + 199 AS z FROM g GROUP BY doc_id, k),
+n AS (SELECT doc_id, sum(z - a + 1) AS removed, count(*) AS spans, max(z) AS z FROM sp GROUP BY doc_id),
+kp AS (SELECT doc_id, lag(z, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) + 1 AS x, a - 1 AS y FROM sp
+       UNION ALL SELECT doc_id, coalesce(z, 0) + 1, octet_length(b) FROM d LEFT JOIN n USING (doc_id)),
+kept AS (SELECT doc_id, string_agg(hex(CASE WHEN y >= x THEN b[x:y] ELSE ''::BLOB END), '' ORDER BY x) AS t FROM kp JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, octet_length(b) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(t)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_html_text": op2_html_text,
@@ -119,4 +136,4 @@ QUERIES = {
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
-ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op4_jaccard_join": OP4_SQL}
+ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op4_jaccard_join": OP4_SQL, "op10_suffix_dedup": OP10_SQL}

@@ -214,7 +214,9 @@ def test_leaks_in_several_item_blocks(spark, monkeypatch):
 # nearest neighbours
 
 
-def test_neighbours_recall_and_ties(spark):
+@pytest.mark.parametrize("queries", [8192, 7])
+def test_neighbours_recall_and_ties(spark, monkeypatch, queries):
+    monkeypatch.setattr(rotated_codes, "QUERIES", queries)
     r = np.random.default_rng(4)
     vectors = r.standard_normal((1500, 32))
     vectors[700:710] = vectors[20]

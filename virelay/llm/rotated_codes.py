@@ -119,18 +119,23 @@ def nearest(df: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_co
     base, asked = base.filter(F.size("v") == dim), asked.filter(F.size("v") == dim)
 
     def packed(with_codes: bool):
+        """Rows as blocks; queries by their group (``g``)."""
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             turn = rotation(dim)
             for batch in batches:
-                for a in range(0, batch.num_rows, BLOCK):
-                    part = batch.slice(a, BLOCK)
-                    ids = part.column("id").to_numpy()
-                    vectors = part.column("v").flatten().to_numpy().reshape(-1, dim)
-                    out = {"ids": [ids.astype("<i8").tobytes()], "vectors": [vectors.astype("<f8").tobytes()]}
-                    if with_codes:
-                        bits, length, aligned = encode(vectors, turn)
-                        out |= {"codes": [bits.tobytes()], "scalars": [np.concatenate([length, aligned]).astype("<f8").tobytes()]}
-                    yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.binary()) for k, v in out.items()})
+                every, known = batch.column("id").to_numpy(), batch.column("v").flatten().to_numpy().reshape(-1, dim)
+                group = np.zeros(len(every), np.int32) if with_codes else batch.column("g").to_numpy()
+                for g in np.unique(group).tolist():
+                    own = np.flatnonzero(group == g)
+                    for a in range(0, len(own), BLOCK):
+                        ids, vectors = every[own[a : a + BLOCK]], known[own[a : a + BLOCK]]
+                        out = {"ids": [ids.astype("<i8").tobytes()], "vectors": [vectors.astype("<f8").tobytes()]}
+                        if with_codes:
+                            bits, length, aligned = encode(vectors, turn)
+                            out |= {"codes": [bits.tobytes()], "scalars": [np.concatenate([length, aligned]).astype("<f8").tobytes()]}
+                        named = {} if with_codes else {"g": pa.array([g], pa.int32())}
+                        yield pa.RecordBatch.from_pydict(named | {k: pa.array(v, pa.binary()) for k, v in out.items()})
 
         return run
 
@@ -139,9 +144,9 @@ def nearest(df: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_co
     n_queries = asked.count()
     groups = max(1, -(-n_queries // QUERIES))
     group = F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int")
-    blocks = asked.repartition(groups, group).mapInArrow(packed(False), "ids binary, vectors binary")
+    blocks = asked.withColumn("g", group).repartition(groups, "g").mapInArrow(packed(False), "g int, ids binary, vectors binary")
     known = F.xxhash64(F.substring("ids", 1, 8))
-    left = blocks.select("ids", "vectors", F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("binary").alias("scalars"), F.spark_partition_id().alias("g"), F.explode(F.sequence(F.lit(0), F.lit(cells - 1))).alias("cell"))
+    left = blocks.select("ids", "vectors", F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("binary").alias("scalars"), "g", F.explode(F.sequence(F.lit(0), F.lit(cells - 1))).alias("cell"))
     right = index.select("ids", "vectors", "codes", "scalars", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"), F.pmod(known, F.lit(cells)).cast("int").alias("cell"))
     both = left.unionByName(right).withColumn("part", F.col("g") * cells + F.col("cell"))
 

@@ -439,7 +439,7 @@ def drop_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Removed is every byte covered by a string of ``length`` bytes that also
     starts anywhere else, in the same text or another (overlaps count), judged on
-    the input.  ``length`` is 32 to 255 + 32.  Null text is empty; texts shorter
+    the input.  ``length`` is 32 to 255.  Null text is empty; texts shorter
     than ``length`` are kept.  Every row is a text of its own: repeated rows and
     ids recur in one another and lose all bytes that strings cover.  Kept bytes
     may cut a character.  Other columns are not read; an empty table gives no row.

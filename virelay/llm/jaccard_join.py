@@ -252,7 +252,8 @@ def _classes(df: DataFrame, id_col: str, text_col: str, width: int, num: int, de
     cells = close.select(F.xxhash64("cell", "part").alias("cell"), "key").join(sets.select("key", "tokens"), "key")
     cells = cells.repartition(parts, "cell").sortWithinPartitions("cell", "key")
     links = cells.select("cell", "key", "tokens").mapInArrow(_compared(num, den), "a long, b long")
-    root = components(links)
+    # Written, so that the join with many equal sets below can be split.
+    root = stored(components(links), "jaccard-roots")
     discard(groups, sets, close)
     known = members.join(root.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.when(F.col("n_shingles") > 0, F.coalesce("root", "key")))
     return known.select("id", "text_hash", "n_shingles", "root")
@@ -298,7 +299,7 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
 
 def _tokens(docs: DataFrame, members: DataFrame, keys: DataFrame, width: int) -> DataFrame:
     """key and packed tokens of the sets of ``keys``, each made anew from one of its documents (or equal rows)."""
-    one = members.join(keys, "key").groupBy("key").agg(F.min(first_row()).alias("of"))
+    one = members.groupBy("key").agg(F.min(first_row()).alias("of")).join(keys, "key", "left_semi")
     one = one.select("key", F.col("of.id").alias("one_id"), F.col("of.text_hash").alias("one_hash"))
     texts = docs.join(one, (F.col("text_hash") == F.col("one_hash")) & F.col("id").eqNullSafe(F.col("one_id")))
     return stored(texts.select("key", "text").mapInArrow(_sets(width), "key long, tokens binary, bits binary"), "jaccard-sets")

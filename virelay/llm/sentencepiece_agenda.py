@@ -3,8 +3,8 @@
 An agenda holds every adjacent pair of symbols whose union is a piece, best
 score first and leftmost among equals; taking pairs from it until it is empty
 gives the library's segmentation.  Texts are cut only where no piece reaches
-over (before a run of word marks, around characters that no piece joins to
-others), so the agenda runs once per distinct chunk and worker.  In each Arrow
+over (before a run of word marks, between characters that no piece has side by
+side), so the agenda runs once per distinct chunk and worker.  In each Arrow
 batch the chunks new to the worker are checked against the library itself.
 """
 
@@ -49,10 +49,12 @@ class AgendaEncoder:
         self.unknown = sp.unk_id()
         if any(MARK in p.lstrip(MARK) for p in self.ids) or sp.encode(" a  b ", out_type=str) and "".join(sp.encode(" a  b ", out_type=str)) != f"{MARK}{MARK}a{MARK}{MARK}b{MARK}":
             raise ValueError("only models with leading word marks and without normalisation are supported")
+        # Two characters that no piece has side by side are never merged, whatever stands around them.
+        self._joined = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         self._split_lines = not any("\n" in p for p in self.ids)
         self._check, self._seen = check, 0
         self._new: list[tuple[str, list[int]]] = []
-        self._first, self._spaced, self._any = ChunkIds(self._line_start, 40_000), ChunkIds(self._after_space, 160_000), ChunkIds(self._chunk, 40_000)
+        self._first, self._spaced, self._any = ChunkIds(self._line_start, 60_000), ChunkIds(self._after_space, 300_000), ChunkIds(self._chunk, 40_000)
         self._newline = array("I", self.segment("\n")).tobytes()
 
     def segment(self, chunk: str) -> list[int]:
@@ -106,11 +108,19 @@ class AgendaEncoder:
     def _line_start(self, chunk: str) -> bytes:
         if MARK in chunk or not self._split_lines:
             raise Odd
+        joined = self._joined
+        for i in range(len(chunk) - 1, 0, -1):
+            if chunk[i - 1 : i + 1] not in joined:
+                return self._first[chunk[:i]] + self._first[chunk[i:]]
         return self._chunk(chunk) if chunk else b""
 
     def _after_space(self, chunk: str) -> bytes:
         if not chunk or MARK in chunk or not self._split_lines:
             raise Odd
+        joined = self._joined
+        for i in range(len(chunk) - 1, 0, -1):
+            if chunk[i - 1 : i + 1] not in joined:
+                return self._spaced[chunk[:i]] + self._first[chunk[i:]]
         return self._chunk(MARK + chunk)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -156,7 +166,7 @@ def encode_decode(df: DataFrame, model: str, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         agenda = encoder(model, check)
-        for batch in slices(batches, "text", 1 << 20):
+        for batch in slices(batches, "text", 2 << 20):
             ids = agenda.encode([t or "" for t in batch.column("text").to_pylist()])
             lists = [x.tolist() for x in ids]
             decoded = agenda.library.decode(lists, num_threads=1)

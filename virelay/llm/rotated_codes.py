@@ -21,6 +21,8 @@ from pyspark.sql.window import Window
 CONFIDENCE = 2.2
 #: Vectors in one packed block, and queries that one task holds.
 BLOCK, QUERIES = 2048, 8192
+#: Parts of the vectors; tasks are this many for each group of queries.
+CELLS = 12
 SEED = 20240229
 
 
@@ -101,13 +103,13 @@ def nearest(df: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector_co
     (ties: the larger) take no part; of rows with the same id the least vector
     counts.  Fewer candidates than ``k`` are all returned; empty tables give no row.
 
-    ``cells`` parts of the vectors (default: the session's shuffle partitions)
+    ``cells`` parts of the vectors (default: ``CELLS``)
     meet groups of ``QUERIES`` queries; a task keeps its queries and the best
     ``k`` of each and sees the vectors block by block, so its memory is bounded,
     and what tasks return is ``cells * k`` rows a query, whatever the size of ``df``.
     """
     spark = df.sparkSession
-    cells = cells or max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    cells = cells or CELLS
 
     def clean(table: DataFrame) -> DataFrame:
         rows = table.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))

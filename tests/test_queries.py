@@ -43,3 +43,8 @@ def test_one_exchange_serves_all_windows(spark, data):
 def test_scans_read_only_what_is_needed(spark, data):
     plan = plans.QUERIES["seq_length_filter"](spark, data)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in plan
+
+
+def test_fasta_records_of_all_documents(spark, duck, data):
+    got = {r.doc_id for r in plans.QUERIES["fasta_records_all"](spark, data).collect()}
+    assert got == {k for (k,) in duck.execute("select doc_id from documents").fetchall()} and max(got) >= 100

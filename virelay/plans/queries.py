@@ -438,3 +438,14 @@ def fasta_records(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").filter("doc_id < 100")
     written = docs.select(fasta_record(F.col("doc_id").cast("string"), F.concat(F.lit("lang "), "lang"), F.col("text")).alias("record"))
     return parsed_records(written, F.lit("f.fa"), False).select(F.col("name").cast("long").alias("doc_id"), "seq", "description")
+
+
+@query("""SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\s\\x0B]', '', 'g') AS seq, coalesce('lang ' || lang, '') AS description FROM documents""")
+def fasta_records_all(spark, sf_dir):
+    """The texts of all documents written as FASTA and parsed again; ``fasta_records`` has the first hundred ids."""
+    from ..sources.fasta import parsed_records
+    from ..sources.sinks import fasta_record
+
+    docs = table(spark, sf_dir, "documents")
+    written = docs.select(fasta_record(F.col("doc_id").cast("string"), F.concat(F.lit("lang "), "lang"), F.coalesce("text", F.lit(""))).alias("record"))
+    return parsed_records(written, F.lit("f.fa"), False).select(F.col("name").cast("long").alias("doc_id"), "seq", "description")

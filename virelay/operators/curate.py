@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import CLASSES, DATABASES, EngineConfig
@@ -112,5 +112,25 @@ def rank_of(column: str, order: tuple[str, ...]) -> Column:
     return out
 
 
+#: Ranges that the last sort column is dealt into, for each value of the columns before it.
+RANGES = 32
+
+
+def with_places(df: DataFrame, ranks: list[str], key: str, place: str = "place") -> DataFrame:
+    """``df`` sorted by small-valued ``ranks`` and a numeric ``key``, each row with its place from 1.
+
+    Rows are numbered within ranges of the key, and the rows of all ranges before
+    are added, so no task meets all rows.  Rows that tie have places of their own.
+    """
+    edges = sorted(set(df.approxQuantile(key, [k / RANGES for k in range(1, RANGES)], 0.005)))
+    part = sum((F.when(F.col(key) >= e, 1).otherwise(0) for e in edges), F.lit(0))
+    dealt, group = df.withColumn("_range", part), [*ranks, "_range"]
+    before = Window.orderBy(*group).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = dealt.groupBy(*group).count().select(*group, F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
+    rows = dealt.withColumn("_n", F.row_number().over(Window.partitionBy(*group).orderBy(key)))
+    placed = rows.join(F.broadcast(sizes), group)
+    return placed.select(*df.columns, (F.col("_before") + F.col("_n")).cast("long").alias(place)).orderBy(place)
+
+
 CLASS_ORDER = (*CLASSES, "unclassified")
 CONFIDENCE_ORDER = ("high", "medium", "low")

@@ -449,3 +449,10 @@ def fasta_records_all(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     written = docs.select(fasta_record(F.col("doc_id").cast("string"), F.concat(F.lit("lang "), "lang"), F.coalesce("text", F.lit(""))).alias("record"))
     return parsed_records(written, F.lit("f.fa"), False).select(F.col("name").cast("long").alias("doc_id"), "seq", "description")
+
+
+@query("""SELECT o_orderkey, o_orderstatus, o_orderpriority, row_number() OVER (ORDER BY CASE o_orderstatus WHEN 'O' THEN 0 WHEN 'F' THEN 1 ELSE 2 END, CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 ELSE 2 END, o_orderkey) AS place FROM orders""")
+def rank_sort_all(spark, sf_dir):
+    """All rows by two ranked columns and a key, with their places; ``rank_sort`` has the first thousand."""
+    ranked = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", curate.rank_of("o_orderstatus", ("O", "F")).alias("a"), curate.rank_of("o_orderpriority", ("1-URGENT", "2-HIGH")).alias("b"))
+    return curate.with_places(ranked, ["a", "b"], "o_orderkey").drop("a", "b")

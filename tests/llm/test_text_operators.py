@@ -212,6 +212,15 @@ def test_pieces_of_a_table(spark):
     assert sentencepiece_agenda.encode_decode(empty(spark), PIECES).count() == 0
 
 
+def test_pieces_of_long_unspaced_chunks(spark):
+    r = random.Random(4)
+    han, digits = "".join(chr(r.randrange(0x4E00, 0x9FA5)) for _ in range(5000)), "".join(r.choice("0123456789") for _ in range(5000))
+    texts = [han, digits, f"a {han}", f"a {digits}\n{digits[:3000]} b"]
+    rows = sentencepiece_agenda.encode_decode(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), PIECES).collect()
+    library = sentencepiece_agenda.encoder(PIECES, 1).library
+    assert {r.id: list(r.ids) for r in rows} == dict(enumerate(library.encode(texts)))
+
+
 # languages
 
 

@@ -108,20 +108,27 @@ class AgendaEncoder:
     def _line_start(self, chunk: str) -> bytes:
         if MARK in chunk or not self._split_lines:
             raise Odd
-        joined = self._joined
-        for i in range(len(chunk) - 1, 0, -1):
-            if chunk[i - 1 : i + 1] not in joined:
-                return self._first[chunk[:i]] + self._first[chunk[i:]]
-        return self._chunk(chunk) if chunk else b""
+        parts = self._parts(chunk)
+        return self._chunk(chunk) if len(parts) == 1 else b"".join(map(self._first.__getitem__, parts))
 
     def _after_space(self, chunk: str) -> bytes:
         if not chunk or MARK in chunk or not self._split_lines:
             raise Odd
-        joined = self._joined
-        for i in range(len(chunk) - 1, 0, -1):
+        parts = self._parts(chunk)
+        if len(parts) == 1:
+            return self._chunk(MARK + chunk)
+        return self._spaced[parts[0]] + b"".join(map(self._first.__getitem__, parts[1:]))
+
+    def _parts(self, chunk: str) -> list[str]:
+        """The chunk cut wherever no piece joins two characters; an empty chunk has no part."""
+        joined, parts, a = self._joined, [], 0
+        for i in range(1, len(chunk)):
             if chunk[i - 1 : i + 1] not in joined:
-                return self._spaced[chunk[:i]] + self._first[chunk[i:]]
-        return self._chunk(MARK + chunk)
+                parts.append(chunk[a:i])
+                a = i
+        if chunk:
+            parts.append(chunk[a:])
+        return parts
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         out = []

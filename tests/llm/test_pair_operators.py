@@ -211,6 +211,43 @@ def test_leaks_in_several_item_blocks(spark, monkeypatch):
     assert simhash_decontam.drop_leaks(docs, items).count() == 0
 
 
+def whole_leaks(docs, items, threshold):
+    """What :func:`brute_leaks` passes over: similarity of whole documents to longer items."""
+    texts = [(k, words(t)) for k, t in items if words(t)]
+    bags = {k: collections.Counter(tuple(w[i : i + min(5, len(w))]) for i in range(len(w) - min(5, len(w)) + 1)) for k, w in texts}
+    df = collections.Counter(s for bag in bags.values() for s in bag)
+    total = lambda bag: sum(c * np.log1p(len(bags) / df.get(s, 1)) for s, c in bag.items())
+    out = {}
+    for doc, text in docs:
+        w = words(text)
+        for item, own in texts:
+            if len(w) < len(own):
+                n = min(5, len(own))
+                bag = collections.Counter(tuple(w[i : i + n]) for i in range(len(w) - n + 1))
+                both = total(bag & bags[item])
+                if both and (score := both / (total(bag) + total(bags[item]) - both)) >= threshold:
+                    out[doc, item] = (score, 0)
+    return out
+
+
+def test_leaks_of_documents_shorter_than_the_item(spark):
+    r = random.Random(12)
+    vocabulary = [f"v{k}" for k in range(80)]
+    items = [(k, " ".join(r.choice(vocabulary) for _ in range(r.randint(6, 40)))) for k in range(12)] + [(12, "a b c d"), (13, "y " * 30)]
+    docs = [(0, ""), (1, "a b c"), (2, "y " * 28), (3, "y " * 20)]
+    for k, text in items[:12]:
+        w = text.split()
+        docs += [(10 * k + 10, " ".join(w[:-1])), (10 * k + 11, " ".join(w[2:])), (10 * k + 12, " ".join(w[: len(w) // 2] + w[len(w) // 2 + 1 :])), (10 * k + 13, " ".join(w[: len(w) // 2]))]
+    want = brute_leaks(docs, items, 0.8) | whole_leaks(docs, items, 0.8)
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    rows = simhash_decontam.leaks(d, b).collect()
+    got = {(x.id, x.item_id): (x.similarity, x.first_word) for x in rows}
+    assert set(got) == set(want) and len(whole_leaks(docs, items, 0.8)) >= 8 and (2, 13) in got
+    assert all(got[k][0] == pytest.approx(want[k][0]) and got[k][1] == want[k][1] for k in want)
+    assert {x.id: x.n_words for x in rows if x.item_id == 13} == {2: 28}
+    assert {x.doc_id for x in simhash_decontam.drop_leaks(d, b).collect()} == {k for k, _ in docs} - {k for k, _ in want}
+
+
 # nearest neighbours
 
 

@@ -6,6 +6,7 @@ are indexed by the four 16-bit blocks of their fingerprint, each block with all
 values within ``RADIUS // 4`` bits: two fingerprints at most ``RADIUS`` bits apart
 agree that far in at least one block, so none is missed.  What is found is
 verified by the exact weighted Jaccard similarity of the shingle multisets.
+A document shorter than an item is one window, compared by its shingles alone.
 
 A window that shares no shingle with any item has similarity 0; such windows are
 passed over before fingerprinting, which loses nothing.
@@ -106,15 +107,22 @@ class Items:
         self.known, df = np.unique(every, return_counts=True)
         self.weights = np.log1p(len(kept) / df) if len(kept) else np.empty(0)
         self.most = float(np.log1p(max(1, len(kept))))
-        self.bags = []
-        for k in kept:
-            s, c = np.unique(k[3], return_counts=True)
-            self.bags.append((s, c * self.weigh(s)))
+        self.counted = [np.unique(k[3], return_counts=True) for k in kept]
+        self.bags = [(s, c * self.weigh(s)) for s, c in self.counted]
         self.sizes = []
         for words, n in sorted({(k[1], k[2]) for k in kept}):
             own = np.array([i for i, k in enumerate(kept) if k[1] == words])
             prints = np.array([fingerprint(bit_votes(kept[i][3], self.weigh(kept[i][3])).sum(axis=0)) for i in own], np.uint64)
             self.sizes.append(Size(words, n, own, BlockIndex(prints, radius)))
+        # Shingles of full width with their items, for documents shorter than an item.
+        self.lengths = np.array([k[1] for k in kept], np.int64)
+        self.totals = np.array([b[1].sum() for b in self.bags])
+        full = [i for i, k in enumerate(kept) if k[2] == width]
+        shingles = np.concatenate([np.empty(0, np.uint64), *[self.bags[i][0] for i in full]])
+        owners = np.repeat(np.array(full, np.int64), [len(self.bags[i][0]) for i in full])
+        weights = np.concatenate([np.empty(0), *[self.bags[i][1] for i in full]])
+        order = np.argsort(shingles, kind="stable")
+        self._shingles, self._owners, self._weights = shingles[order], owners[order], weights[order]
 
     def weigh(self, shingles: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.known, shingles), max(0, len(self.known) - 1))
@@ -160,8 +168,27 @@ class Items:
                     score = self.similarity(part[w : w + span], i)
                     if score >= threshold and (i not in best or (-score, a + w) < best[i][:2]):
                         best[i] = -score, a + w, size.words, d
+        if self.sizes and self.width <= len(words) < self.sizes[-1].words:
+            s = shingled[self.width][0] if self.width in shingled else windows(words, self.width)
+            for i in self.longer(s, len(words), threshold):
+                if (score := self.similarity(s, i)) >= threshold:
+                    mine, theirs = (fingerprint(bit_votes(x, self.weigh(x)).sum(axis=0)) for x in (s, np.repeat(*self.counted[i])))
+                    best[i] = -score, 0, len(words), int(np.bitwise_count(mine ^ theirs))
         return [(self.ids[i], at, n, d, -score) for i, (score, at, n, d) in sorted(best.items())]
 
+    def longer(self, shingles: np.ndarray, words: int, threshold: float) -> list[int]:
+        """Items of more than ``words`` words that a whole document of these shingles may reach the threshold with."""
+        s, c = np.unique(shingles, return_counts=True)
+        a = np.searchsorted(self._shingles, s)
+        n = np.searchsorted(self._shingles, s, side="right") - a
+        if not n.any():
+            return []
+        weight = c * self.weigh(s)
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(a, n)
+        inside = np.bincount(self._owners[at], np.minimum(np.repeat(weight, n), self._weights[at]), len(self.totals))
+        reached = inside >= (threshold - 1e-9) * (weight.sum() + self.totals - inside)
+        return np.flatnonzero(reached & (inside > 0) & (self.lengths > words)).tolist()
+
 
 def _touching(members: np.ndarray, span: int, total: int) -> list[tuple[int, int]]:
     """Ranges of window starts whose window holds a member."""
@@ -194,10 +221,11 @@ def leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col:
     """Benchmark items found in documents: id, item_id, first_word, n_words, bits_apart, similarity.
 
     One row for each document row and item whose best window of the item's
-    number of words reaches ``threshold`` (ties: the first window).  A shingle is
-    ``width`` words (all words of a shorter item); words are compared with A-Z in
-    lower case.  Documents or items that are null, empty or without words give
-    nothing, nor do items longer than the document; items with the same id are
+    number of words reaches ``threshold`` (ties: the first window); where the item
+    is longer than the document, the whole document is the one window, and it is
+    verified whatever its fingerprint.  A shingle is ``width`` words (all words of a
+    shorter item); words are compared with A-Z in lower case.  Documents or items
+    that are null, empty or without words give nothing; items with the same id are
     searched one by one and each gives its row.  Clean documents give no row.
     Documents are read whole in one narrow pass for each block of at most
     ``ITEMS`` items; empty tables give no row.

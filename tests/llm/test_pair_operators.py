@@ -248,6 +248,21 @@ def test_leaks_of_documents_shorter_than_the_item(spark):
     assert {x.doc_id for x in simhash_decontam.drop_leaks(d, b).collect()} == {k for k, _ in docs} - {k for k, _ in want}
 
 
+def test_weights_do_not_depend_on_the_item_blocks(spark, monkeypatch):
+    template = [f"t{j}" for j in range(14)]
+    own = lambda k: template + [f"i{k}w{j}" for j in range(10)]
+    items = [(k, " ".join(own(k))) for k in range(7)] + [(7, "")]
+    docs = [(k, " ".join(["x", *own(k)[:-n], *["other"] * n, "y"])) for k in range(7) for n in (1, 2, 3)] + [(9, " ".join(template + own(2)[14:] + own(5)[14:]))]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string").repartition(1), spark.createDataFrame(items, "item_id long, text string")
+    found = lambda: sorted((r.id, r.item_id, r.first_word, r.n_words, r.bits_apart, round(r.similarity, 9)) for r in simhash_decontam.leaks(d, b, threshold=0.5).collect())
+    whole, clean = found(), sorted(r.text for r in simhash_decontam.drop_leaks(d, b, threshold=0.7).collect())
+    assert whole and clean
+    for n in (1, 2, 3, 6):
+        monkeypatch.setattr(simhash_decontam, "ITEMS", n)
+        assert found() == whole
+        assert sorted(r.text for r in simhash_decontam.drop_leaks(d, b, threshold=0.7).collect()) == clean
+
+
 # nearest neighbours
 
 

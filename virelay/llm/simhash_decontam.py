@@ -15,7 +15,7 @@ passed over before fingerprinting, which loses nothing.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -89,10 +89,19 @@ class Size:
     index: BlockIndex
 
 
+@dataclass
+class Shared:
+    """The number of all items that have words, and the shingles of two or more of them, ascending, with their numbers of items."""
+
+    items: int
+    shingles: np.ndarray
+    counts: np.ndarray
+
+
 class Items:
     """Benchmark items ready for the search: shingles, weights and fingerprints."""
 
-    def __init__(self, texts: list[tuple[int, str]], width: int, radius: int):
+    def __init__(self, texts: list[tuple[int, str]], width: int, radius: int, shared: Shared | None = None):
         self.width = width
         kept = []
         for item, text in texts:
@@ -105,8 +114,9 @@ class Items:
         distinct = [np.unique(k[3]) for k in kept]
         every = np.concatenate([np.empty(0, np.uint64), *distinct])
         self.known, df = np.unique(every, return_counts=True)
-        self.weights = np.log1p(len(kept) / df) if len(kept) else np.empty(0)
-        self.most = float(np.log1p(max(1, len(kept))))
+        self.shared = shared or Shared(len(kept), self.known[df > 1], df[df > 1])
+        self.weights = np.log1p(self.shared.items / self.shared.counts)
+        self.most = float(np.log1p(max(1, self.shared.items)))
         self.counted = [np.unique(k[3], return_counts=True) for k in kept]
         self.bags = [(s, c * self.weigh(s)) for s, c in self.counted]
         self.sizes = []
@@ -125,9 +135,11 @@ class Items:
         self._shingles, self._owners, self._weights = shingles[order], owners[order], weights[order]
 
     def weigh(self, shingles: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.known, shingles), max(0, len(self.known) - 1))
-        hit = self.known[at] == shingles if len(self.known) else np.zeros(len(shingles), bool)
-        return np.where(hit, self.weights[at] if len(self.known) else 0.0, self.most)
+        known = self.shared.shingles
+        if not len(known):
+            return np.full(len(shingles), self.most)
+        at = np.minimum(np.searchsorted(known, shingles), len(known) - 1)
+        return np.where(known[at] == shingles, self.weights[at], self.most)
 
     def holds(self, shingles: np.ndarray) -> np.ndarray:
         if not len(self.known):
@@ -201,11 +213,14 @@ def _touching(members: np.ndarray, span: int, total: int) -> list[tuple[int, int
     return list(zip(first[opens].tolist(), (last[np.append(np.flatnonzero(opens)[1:] - 1, len(last) - 1)] + 1).tolist(), strict=True))
 
 
+def item_rows(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return benchmark.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id is not null and text is not null")
+
+
 def item_blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
     """The items in blocks of bounded size, so that what is sent to the executors is bounded."""
     block, words = [], 0
-    rows = benchmark.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id is not null and text is not null")
-    for row in rows.orderBy("id", "text").toLocalIterator():
+    for row in item_rows(benchmark, id_col, text_col).orderBy("id", "text").toLocalIterator():
         n = len(row.text.split())
         if block and (len(block) >= ITEMS or words + n > WORDS):
             yield block
@@ -216,6 +231,42 @@ def item_blocks(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[li
         yield block
 
 
+def shared_shingles(benchmark: DataFrame, id_col: str, text_col: str, width: int) -> Shared:
+    """What the weights depend on, counted over the whole benchmark; only shingles of several items come to the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 1 << 20):
+            rows = []
+            for text in batch.column("text").to_pylist():
+                words = word_hashes(text.encode("utf-8", "replace"))[0]
+                if len(words):
+                    rows.append(np.unique(windows(words, min(width, len(words)))).view(np.int64))
+            yield pa.RecordBatch.from_pydict({"shingles": pa.array(rows, pa.list_(pa.int64()))})
+
+    sets = item_rows(benchmark, id_col, text_col).mapInArrow(run, "shingles array<long>")
+    found = sets.select(F.explode("shingles").alias("shingle")).groupBy("shingle").count().filter("count > 1").toArrow()
+    shingles, counts = found["shingle"].to_numpy().view(np.uint64), found["count"].to_numpy()
+    order = np.argsort(shingles)
+    return Shared(sets.count(), shingles[order], counts[order])
+
+
+def weighed_blocks(benchmark: DataFrame, id_col: str, text_col: str, width: int) -> Iterator[tuple[list[tuple[int, str]], Callable[[], Shared | None]]]:
+    """Each block of items with what gives their weights, so that these don't depend on the blocks.
+
+    A single block counts for itself.  Of several, all executors get the shingles
+    that two or more of all items share, once: 16 bytes for each.
+    """
+    blocks = item_blocks(benchmark, id_col, text_col)
+    first, second = next(blocks, None), next(blocks, None)
+    if second is None:
+        if first is not None:
+            yield first, lambda: None
+        return
+    sent = benchmark.sparkSession.sparkContext.broadcast(shared_shingles(benchmark, id_col, text_col, width))
+    for block in itertools.chain((first, second), blocks):
+        yield block, lambda: sent.value
+
+
 def leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
           width: int = 5, threshold: float = 0.8, radius: int = RADIUS) -> DataFrame:
     """Benchmark items found in documents: id, item_id, first_word, n_words, bits_apart, similarity.
@@ -226,17 +277,18 @@ def leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col:
     verified whatever its fingerprint.  A shingle is ``width`` words (all words of a
     shorter item); words are compared with A-Z in lower case.  Documents or items
     that are null, empty or without words give nothing; items with the same id are
-    searched one by one and each gives its row.  Clean documents give no row.
+    searched one by one and each gives its row.  Weights are counted over all items,
+    so no result depends on the blocks.  Clean documents give no row.
     Documents are read whole in one narrow pass for each block of at most
     ``ITEMS`` items; empty tables give no row.
     """
     schema = "id long, item_id long, first_word long, n_words long, bits_apart int, similarity double"
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     out = None
-    for block in item_blocks(benchmark, item_col, item_text_col):
+    for block, shared in weighed_blocks(benchmark, item_col, item_text_col, width):
 
-        def run(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            items = Items(block, width, radius)
+        def run(batches: Iterator[pa.RecordBatch], block=block, shared=shared) -> Iterator[pa.RecordBatch]:
+            items = Items(block, width, radius, shared())
             for batch in slices(batches, "text", 4 << 20):
                 rows = [(k, *x) for k, t in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True) for x in items.search(t or "", threshold)]
                 if rows:
@@ -257,10 +309,10 @@ def drop_leaks(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     """
     width, threshold, radius = (options.get(k, v) for k, v in (("width", 5), ("threshold", 0.8), ("radius", RADIUS)))
     out = df
-    for block in item_blocks(benchmark, options.get("item_col", "item_id"), options.get("item_text_col", "text")):
+    for block, shared in weighed_blocks(benchmark, options.get("item_col", "item_id"), options.get("item_text_col", "text"), width):
 
-        def clean(batches: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            items = Items(block, width, radius)
+        def clean(batches: Iterator[pa.RecordBatch], block=block, shared=shared) -> Iterator[pa.RecordBatch]:
+            items = Items(block, width, radius, shared())
             for batch in slices(batches, text_col, 4 << 20):
                 good = [not items.search(t or "", threshold) for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]
                 yield batch.filter(pa.array(good, pa.bool_()))

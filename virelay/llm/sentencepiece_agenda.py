@@ -4,8 +4,9 @@ An agenda holds every adjacent pair of symbols whose union is a piece, best
 score first and leftmost among equals; taking pairs from it until it is empty
 gives the library's segmentation.  Texts are cut only where no piece reaches
 over (before a run of word marks, between characters that no piece has side by
-side), so the agenda runs once per distinct chunk and worker.  In each Arrow
-batch the chunks new to the worker are checked against the library itself.
+side), so the agenda runs once per distinct chunk and worker.  Of the chunks new
+to the worker a sample is checked against the library itself: every ``check``-th,
+if it begins with a word mark.
 """
 
 from __future__ import annotations
@@ -32,7 +33,8 @@ class AgendaEncoder:
     """Encodes with a merge-type SentencePiece model without normalisation.
 
     ``check`` compares every ``check``-th newly encoded chunk with the library
-    (0: none, 1: all) and raises if an id differs.
+    (0: none, 1: all) and raises if an id differs; chunks without a leading word
+    mark (those that open a line or follow a cut) are never compared.
     """
 
     def __init__(self, path: str, check: int = 8):

@@ -266,39 +266,84 @@ def test_weights_do_not_depend_on_the_item_blocks(spark, monkeypatch):
 # nearest neighbours
 
 
-@pytest.mark.parametrize("queries", [8192, 7])
-def test_neighbours_recall_and_ties(spark, monkeypatch, queries):
+def brute_neighbours(vectors, ids, q, k):
+    score = vectors @ vectors[q]
+    return [(int(ids[j]), float(score[j])) for j in np.lexsort((ids, -score)) if j != q][:k]
+
+
+@pytest.mark.parametrize("part_rows,queries", [(None, 512), (200, 7)])
+def test_neighbours_recall_and_ties(spark, monkeypatch, part_rows, queries):
     monkeypatch.setattr(rotated_codes, "QUERIES", queries)
     r = np.random.default_rng(4)
     vectors = r.standard_normal((1500, 32))
-    vectors[700:710] = vectors[20]
+    vectors[20] *= 3
+    vectors[700:800] = vectors[20]  # more copies than neighbours
+    vectors[900:1100] += 4 * r.standard_normal(32)
     rows = [(int(k), [float(x) for x in np.float32(v)], "c") for k, v in enumerate(vectors)]
-    bad = [(2000, None, "c"), (2020, [0.0] * 32, "c"), (2040, [float("nan")] * 32, "c"), (2060, [1.0] * 31 + [None], "c"), (2080, [float("inf")] * 32, "c"), (2100, [1.0] * 8, "c"), (None, [1.0] * 32, "c"), (2120, [], "c")]
+    bad = [(2000, None, "c"), (2020, [0.0] * 32, "c"), (2040, [float("nan")] * 32, "c"), (2060, [1.0] * 31 + [None], "c"), (2080, [float("inf")] * 32, "c"), (None, [1.0] * 32, "c"), (2120, [], "c")]
     df = spark.createDataFrame(rows + bad + rows[40:41], "vec_id long, embedding array<float>, rank string")
     got = collections.defaultdict(list)
-    for x in rotated_codes.nearest(df, df.filter("vec_id % 20 = 0"), k=20, cells=3).orderBy("query_id", "rank").collect():
+    for x in rotated_codes.nearest(df, df.filter("vec_id % 20 = 0"), k=20, part_rows=part_rows).orderBy("query_id", "rank").collect():
         got[x.query_id].append((x.rank, x.vec_id, x.score))
     exact, hits = np.float32(vectors).astype(float), 0
     assert set(got) == set(range(0, 1500, 20))
     for q, found in got.items():
         score = exact @ exact[q]
-        order = [int(k) for k in np.lexsort((np.arange(1500), -score)) if k != q][:20]
-        hits += len({v for _, v, _ in found} & set(order))
+        hits += len({v for _, v, _ in found} & {v for v, _ in brute_neighbours(exact, np.arange(1500), q, 20)})
         assert [k for k, _, _ in found] == list(range(1, 21))
-        assert all(s == pytest.approx(score[v], abs=1e-9) for _, v, s in found)
+        assert all(s == pytest.approx(score[v], abs=1e-9) for _, v, s in found) and q not in {v for _, v, _ in found}
         assert found == sorted(found, key=lambda x: (-x[2], x[1]))
     assert hits / (20 * len(got)) >= 0.98
-    assert [v for _, v, _ in got[20]][:10] == list(range(700, 710))
+    assert [v for _, v, _ in got[20]] == list(range(700, 720)) and [v for _, v, _ in got[720]] == [20, *range(700, 719)]
+
+
+def test_codes_decide_and_recall_is_high(spark):
+    """At 32,768 vectors: few pairs are scored exactly in one part, and the whole search over several cells finds nearly all."""
+    r = np.random.default_rng(8)
+    n, dim, k = 32768, 64, 21
+    vectors = r.standard_normal((n, dim))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    width, center = rotated_codes.BITS, vectors.mean(axis=0)
+    bits, length, aligned = rotated_codes.encode(vectors - center, rotated_codes.rotation(dim, width))
+    ids = np.arange(n)
+    one = (vectors.tobytes(), bits.tobytes(), np.concatenate([length, aligned]).tobytes(), np.ones(n, "<i8").tobytes(), ids.astype("<i8").tobytes(), np.stack([ids, ids], 1).astype("<i8").tobytes())
+    part = rotated_codes.Part(dim, center, [one], rotated_codes.CONFIDENCE, width)
+    asked = np.arange(0, n, 160)
+    q, v, _ = part.search(vectors[asked], np.full(len(asked), -np.inf), k)
+    truth = np.argsort(-(vectors[asked] @ vectors.T), axis=1)[:, :k]
+    hits = sum(len(set(v[q == i].tolist()) & set(truth[i].tolist())) for i in range(len(asked)))
+    assert part.exactly / part.pairs < 0.1 and hits / (k * len(asked)) >= 0.95
+
+    df = spark.createDataFrame([(int(i), x.tolist()) for i, x in enumerate(vectors)], "vec_id long, embedding array<double>")
+    got = collections.defaultdict(set)
+    for x in rotated_codes.nearest(df, df.filter("vec_id % 160 = 0"), k=20).collect():
+        got[x.query_id].add(x.vec_id)
+    hits = sum(len(got[int(a)] & {int(t) for t in row if t != a}) for a, row in zip(asked, truth, strict=True))
+    assert hits / (20 * len(asked)) >= 0.95
 
 
 def test_bounds_hold_and_codes_are_packed():
     r = np.random.default_rng(6)
     vectors, queries = r.standard_normal((3000, 64)), r.standard_normal((50, 64))
-    turn = rotated_codes.rotation(64)
+    turn = rotated_codes.rotation(64, 128)
+    assert turn @ turn.T == pytest.approx(np.eye(64), abs=1e-9)
     bits, length, aligned = rotated_codes.encode(vectors, turn)
-    assert bits.shape == (3000, 8)
-    upper = rotated_codes.estimate(bits, length, aligned, queries @ turn, rotated_codes.CONFIDENCE)
-    assert np.mean(upper >= queries @ vectors.T) > 0.97
+    assert bits.shape == (3000, 16)
+    about, room = rotated_codes.Codes(bits, length, aligned, 128, rotated_codes.CONFIDENCE).estimate(queries @ turn)
+    exact = queries @ vectors.T
+    assert np.mean(about + room >= exact) > 0.95 and abs(np.mean(about - exact)) < 0.05
+
+
+def test_cells_that_can_hold_nothing_better_are_passed_over(spark):
+    r = np.random.default_rng(9)
+    centers = 50 * r.standard_normal((20, 16))
+    vectors = np.concatenate([c + r.standard_normal((60, 16)) for c in centers])
+    df = spark.createDataFrame([(int(i), x.tolist()) for i, x in enumerate(vectors)], "vec_id long, embedding array<double>")
+    got = collections.defaultdict(list)
+    for x in rotated_codes.nearest(df, df.filter("vec_id % 20 = 0"), k=5, part_rows=60).orderBy("query_id", "rank").collect():
+        got[x.query_id].append(x.vec_id)
+    want = {q: [v for v, _ in brute_neighbours(vectors, np.arange(1200), q, 5)] for q in range(0, 1200, 20)}
+    assert sum(len(set(got[q]) & set(want[q])) for q in want) >= 0.95 * 5 * len(want)
 
 
 def test_few_or_no_vectors(spark):
@@ -308,6 +353,14 @@ def test_few_or_no_vectors(spark):
     assert rotated_codes.nearest(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_repeated_ids_and_several_dimensions(spark):
+    """Rows with one id and several vectors are each a query and a candidate; only vectors of a query's dimension are its candidates."""
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (0, [0.0, 1.0]), (7, [0.5, 0.25]), (9, [1.0, 2.0, 3.0]), (20, [1.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, `a.b` array<double>")
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in rotated_codes.nearest(df, df.filter("vec_id % 20 = 0"), vector_col="a.b").collect())
+    assert got == [(0, 1, 7, 0.25), (0, 1, 7, 0.5), (0, 2, 0, 0.0), (0, 2, 0, 0.0), (20, 1, 9, 1.0)]
+
+
 # repeated strings
 
 

@@ -155,8 +155,8 @@ def test_index_finds_all_within_radius():
 
 
 def brute_leaks(docs, items, threshold):
-    """Best weighted similarity of all windows of the item's words, for each document and item."""
-    texts = [(k, words(t)) for k, t in items if words(t)]
+    """Best weighted similarity of all windows of the item's words, for each document and item of five words or more."""
+    texts = [(k, words(t)) for k, t in items if len(words(t)) >= 5]
     bags = {k: collections.Counter(tuple(w[i : i + min(5, len(w))]) for i in range(len(w) - min(5, len(w)) + 1)) for k, w in texts}
     df = collections.Counter(s for bag in bags.values() for s in bag)
     weight = lambda s: np.log1p(len(bags) / df.get(s, 1))
@@ -199,6 +199,7 @@ def test_leaks_equal_brute_force(spark):
     assert all(got[k][0] == pytest.approx(want[k][0]) and got[k][1] == want[k][1] for k in want)
     clean = {r.doc_id for r in simhash_decontam.drop_leaks(d, b).collect()}
     assert clean == {k for k, _ in docs} - {k for k, _ in want}
+    assert {r.id for r in simhash_decontam.unsearchable(b).collect()} == {20, 21, 22, 23}
     assert simhash_decontam.leaks(d.limit(0), b).count() == 0 and simhash_decontam.leaks(d, b.limit(0)).count() == 0
     assert simhash_decontam.drop_leaks(d, b.limit(0)).count() == len(docs)
 
@@ -213,7 +214,7 @@ def test_leaks_in_several_item_blocks(spark, monkeypatch):
 
 def whole_leaks(docs, items, threshold):
     """What :func:`brute_leaks` passes over: similarity of whole documents to longer items."""
-    texts = [(k, words(t)) for k, t in items if words(t)]
+    texts = [(k, words(t)) for k, t in items if len(words(t)) >= 5]
     bags = {k: collections.Counter(tuple(w[i : i + min(5, len(w))]) for i in range(len(w) - min(5, len(w)) + 1)) for k, w in texts}
     df = collections.Counter(s for bag in bags.values() for s in bag)
     total = lambda bag: sum(c * np.log1p(len(bags) / df.get(s, 1)) for s, c in bag.items())
@@ -263,6 +264,46 @@ def test_weights_do_not_depend_on_the_item_blocks(spark, monkeypatch):
         assert sorted(r.text for r in simhash_decontam.drop_leaks(d, b, threshold=0.7).collect()) == clean
 
 
+def test_radius_recall_over_two_thousand_items(spark):
+    """Of planted windows with an exact similarity of 0.8 or more nearly all are found, in one pass over the documents."""
+    r = random.Random(21)
+    vocabulary = [f"v{k}" for k in range(3000)]
+    items = [(k, [r.choice(vocabulary) for _ in range(r.randint(20, 60))]) for k in range(2000)]
+    docs = []
+    for k in range(900):
+        own = list(items[r.randrange(2000)][1]) if k else []
+        item = next((i for i, w in items if w == own), None)
+        for _ in range(r.choice((0, 1, 1, 2)) if own else 0):
+            own[r.choice((0, -1, r.randrange(len(own))))] = r.choice(vocabulary)
+        docs.append((k, item, [r.choice(vocabulary) for _ in range(40)] + own + [r.choice(vocabulary) for _ in range(40)]))
+    df = collections.Counter(s for _, w in items for s in {tuple(w[i : i + 5]) for i in range(len(w) - 4)})
+    weigh = lambda bag: sum(c * np.log1p(2000 / df.get(s, 1)) for s, c in bag.items())
+    grams = lambda w: collections.Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+    want = set()
+    for k, item, w in docs:
+        if item is not None:
+            bag, n = grams(items[item][1]), len(items[item][1])
+            for a in range(30, min(50, len(w) - n + 1)):
+                part = grams(w[a : a + n])
+                both = weigh(part & bag)
+                if both >= 0.8 * (weigh(part) + weigh(bag) - both):
+                    want.add((k, item))
+                    break
+    d = spark.createDataFrame([(k, " ".join(w)) for k, _, w in docs], "doc_id long, text string")
+    b = spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string")
+    got = {(x.id, x.item_id) for x in simhash_decontam.leaks(d, b).collect()}
+    assert len(want) > 400 and got <= want and len(got) >= 0.99 * len(want)
+
+
+def test_long_document_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(simhash_decontam, "STARTS", 7)
+    item = " ".join(f"i{k}" for k in range(30))
+    text = " ".join([f"x{k}" for k in range(500)] + item.split() + [f"y{k}" for k in range(500)] + item.split())
+    d, b = spark.createDataFrame([(1, text, "c")], "doc_id long, text string, `k1.x` string"), spark.createDataFrame([(5, item)], "item_id long, text string")
+    assert [(r.id, r.item_id, r.first_word, r.n_words, r.similarity) for r in simhash_decontam.leaks(d, b).collect()] == [(1, 5, 500, 30, 1.0)]
+    assert simhash_decontam.drop_leaks(d, b).columns == d.columns and simhash_decontam.drop_leaks(d, b).count() == 0
+
+
 # nearest neighbours
 
 

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A-Z to a-z, and nothing else: the case folding of the line and shingle keys.
@@ -85,6 +85,11 @@ def long_rows(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_BYTES))
 
 
+def column(name: str) -> Column:
+    """The column of this very name, dots and quotes in it included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def ascii_lower(col):
     return F.translate(col, UPPER, LOWER)
 

@@ -55,8 +55,7 @@ def test_lines_equal_brute_force_in_any_batches(spark, batches):
     pool = ["Hot line", " hot LINE\t", "É", "é", "", "rare", *[f"l{k}" for k in range(20)]]
     texts = [None if r.random() < 0.05 else "\n".join(r.choice(pool) for _ in range(r.randint(0, 8))) for _ in range(90)]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    parts = [df.filter(F.col("doc_id") % batches == k) for k in range(batches)]
-    got = {x.row.doc_id: (x.n_lines, x.n_dropped, x.kept) for x in line_dedup.drop_frequent_lines(df, min_docs=10, batches=parts).collect()}
+    got = {x.row.doc_id: (x.n_lines, x.n_dropped, x.kept) for x in line_dedup.drop_frequent_lines(df, min_docs=10, batches=batches).collect()}
     assert [got[k] for k in range(len(texts))] == brute_lines(texts, 10)
 
 
@@ -71,17 +70,48 @@ def test_runs_are_compacted_and_plans_stay_native(spark):
     df = spark.createDataFrame([(k, "same\nline %d" % (k % 30)) for k in range(120)], "doc_id long, text string")
     runs = line_dedup.LineRuns(spark, 4)
     for k in range(9):
-        runs.add(df.filter(F.col("doc_id") % 9 == k), "text")
-    assert [len(x) for x in runs.levels] == [1, 2]
+        runs.add_documents(df.filter(F.col("doc_id") % 9 == k), "text")
+        if k == 4:  # the settled line is passed over from here on
+            assert runs.spark.table(runs.levels[0][0]).count() == 10
+    assert [n for _, n in runs.levels] == [1, 2] and len(runs.done) == 2
+    assert {(x.n_docs) for x in runs.settled().collect()} >= {4} and spark.sql("show tables").filter(F.col("tableName").startswith(runs.name)).count() == 0
     plan = line_dedup.drop_frequent_lines(df, min_docs=4)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
 
 
-def test_file_batches_cover_all_rows(spark, tmp_path):
-    spark.range(100).selectExpr("id doc_id", "'x' text").repartition(5).write.parquet(f"{tmp_path}/a b")
-    df = spark.read.parquet(f"{tmp_path}/a b").filter("doc_id < 60")
-    parts = line_dedup.file_batches(df, 3)
-    assert len(parts) == 3 and sorted(r.doc_id for p in parts for r in p.collect()) == list(range(60))
+def test_runs_are_neither_exchanged_nor_sorted_again(spark):
+    counts = line_dedup.stored(line_dedup.line_counts(spark.range(900).selectExpr("concat('line ', id % 200) text"), "text"), "counts")
+    runs = line_dedup.LineRuns(spark, 4, fanout=2, buckets=5)
+    for _ in range(3):
+        runs.add(counts)
+    with line_dedup.setting(spark, line_dedup.ORDERED, "true"):
+        plan = runs.unsettled(counts)._jdf.queryExecution().executedPlan().toString()
+        lines = [x for x in plan.split("\n") if "AdaptiveSparkPlan" not in x]
+        scans = [k for k, x in enumerate(lines) if "Bucketed: true" in x]
+        assert scans and "SortMergeJoin" in plan
+        for at in scans:  # from the scan up to its join
+            depth = lambda x: len(x) - len(x.lstrip(" :+-"))
+            k = at
+            while "SortMergeJoin" not in lines[k]:
+                assert "Exchange" not in lines[k] and "Sort [" not in lines[k]
+                k = max(j for j in range(k) if depth(lines[j]) < depth(lines[k]))
+        merged = runs.merged(runs.levels[0][0])
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Bucketed: true" in plan
+    assert runs.settled().count() == 200
+
+
+def test_hot_lines_are_dealt_to_several_tasks(spark):
+    texts = [f"hot\n{'also hot' if k % 2 else 'x'}\nown {k}\nhot" for k in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.row.doc_id: (x.n_lines, x.n_dropped, x.kept) for x in line_dedup.drop_frequent_lines(df, min_docs=10).collect()}
+    assert [got[k] for k in range(300)] == brute_lines(texts, 10)
+
+
+def test_lines_of_dotted_columns(spark):
+    df = spark.createDataFrame([(k, "a\nb %d" % k, "z") for k in range(12)], "`doc.id` long, `the.text` string, h1 string")
+    got = line_dedup.drop_frequent_lines(df, id_col="doc.id", text_col="the.text")
+    assert sorted(x.kept for x in got.collect()) == sorted(f"b {k}" for k in range(12))
 
 
 # main text

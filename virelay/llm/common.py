@@ -35,6 +35,20 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+@contextlib.contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting that holds while something runs, and is put back then."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a written and reread Parquet table in the shared folder.
 
@@ -44,15 +58,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_dir(spark, name)
-    before = spark.conf.get(CLEAN_UP, None)
-    spark.conf.set(CLEAN_UP, "true")
-    try:
+    with setting(spark, CLEAN_UP, "true"):
         df.write.parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(CLEAN_UP)
-        else:
-            spark.conf.set(CLEAN_UP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out

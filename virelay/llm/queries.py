@@ -18,7 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines found in ten or more documents, dropped from all of them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    cut = line_dedup.drop_frequent_lines(docs, min_docs=10, batches=line_dedup.file_batches(docs, 4))
+    cut = line_dedup.drop_frequent_lines(docs, min_docs=10)
     return cut.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 

@@ -8,10 +8,11 @@ agree that far in at least one block, so none is missed.  What is found is
 verified by the exact weighted Jaccard similarity of the shingle multisets.
 A document shorter than an item is one window, compared by its shingles alone.
 
-A window that shares no shingle with any item has similarity 0.  So documents are
-read once, and only the stretches around shingles that a bit set of all items'
+A window that shares no shingle with an item has similarity 0 to it.  So documents
+are read once, and only the stretches around shingles that a bit set of all items'
 shingles (of bounded size) has go on; from there on all work is on those
-stretches, which meet the blocks of items whose shingles they hold.
+stretches, which meet the blocks of items whose shingles they hold.  There, windows
+that hold a shingle of some item of their length are fingerprinted and looked up.
 """
 
 from __future__ import annotations
@@ -34,11 +35,11 @@ BLOCKS = 4
 #: Items and words of a block of items on the average.
 ITEMS, WORDS = 512, 1 << 18
 #: Stretches of documents that one task compares with one block, on the average.
-STRETCHES = 4096
+STRETCHES = 512
 #: Window starts that are fingerprinted at once.
 STARTS = 4096
 #: Bits of the set of all items' shingles: at least, at most, and for each shingle.
-LEAST_BITS, MOST_BITS, BITS_EACH = 16, 27, 16
+LEAST_BITS, MOST_BITS, BITS_EACH = 20, 28, 128
 
 
 def fingerprint(sums: np.ndarray) -> np.ndarray:
@@ -153,13 +154,20 @@ class Items:
         if len(words) < self.width:
             return best
         s = windows(words, self.width)
-        at = np.minimum(np.searchsorted(self._every, s), len(self._every) - 1)
-        members = np.flatnonzero(self._every[at] == s)
-        if not len(members):
+        first = np.searchsorted(self._every, s)
+        n = np.searchsorted(self._every, s, side="right") - first
+        if not n.any():
             return best
+        # Places of shingles with the length of each item that has them: only windows that hold one can be similar to it.
+        place = np.repeat(np.arange(len(s)), n)
+        length = self.lengths[self._owners[np.arange(len(place)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)]]
+        met = set(length.tolist())
         for size in self.sizes:
             if size.words > len(words):
                 break
+            if size.words not in met:
+                continue
+            members = np.unique(place[length == size.words])
             span = size.words - self.width + 1  # shingles of a window
             for a, b in _touching(members, span, len(s)):
                 for a in range(a, b, STARTS):
@@ -203,13 +211,13 @@ def _touching(members: np.ndarray, span: int, total: int) -> list[tuple[int, int
 
 
 class BitSet:
-    """Shingles as two bits each of ``1 << log`` bits: tells for certain what is not in it."""
+    """Shingles as three bits each of ``1 << log`` bits: tells for certain what is not in it."""
 
     def __init__(self, log: int, words: list[tuple[int, int]]):
         self.log, self.bits = log, np.zeros(1 << (log - 6), np.uint64)
         if words:
             at, value = np.array(words, np.int64).T
-            self.bits[at] = value.view(np.uint64) if value.flags.c_contiguous else np.ascontiguousarray(value).view(np.uint64)
+            self.bits[at] = np.ascontiguousarray(value).view(np.uint64)
 
     def holds(self, shingles: np.ndarray) -> np.ndarray:
         """Places of the shingles that may be in the set."""
@@ -220,8 +228,8 @@ class BitSet:
         return at
 
 
-#: Where a shingle's two places in the bit set begin among its bits.
-PLACES = (8, 36)
+#: Where a shingle's places in the bit set begin among its 56 bits.
+PLACES = (8, 22, 36)
 STRETCH = "k1 long, k2 long, first long, n_words long, words binary, hits array<long>"
 
 

@@ -4,6 +4,7 @@ import hashlib
 import io
 import random
 import zlib
+from html.parser import HTMLParser
 
 import numpy as np
 import public_tokenizers
@@ -126,19 +127,23 @@ def test_html_on_held_out_pages():
     assert right / total > 0.96
 
 
-def test_marginals_are_exact():
+@pytest.mark.parametrize("source", [
+    "<body><nav class=menu><p>a b</p></nav><article><p>some words here</p><div class=ad>x</div></article></body>",
+    "<p>some words here</p><aside>more</aside><p>and yet more words to be read</p>",
+])
+def test_marginals_are_exact(source):
     """Against the sum over all states of a small tree."""
     import itertools
     import math
 
     model = html_text.model()
-    page = html_text.parse("<body><nav class=menu><p>a b</p></nav><article><p>some words here</p><div class=ad>x</div></article></body>")
+    page = html_text.parse(source)
     weights = [math.exp(sum(model.weights.get(x, 0.0) for x in seen)) for seen in html_text.evidence(page)]
+    weights[0] = math.exp(model.root[html_text.has_body(page)])
     n = len(page.elements)
     mass, total = [0.0] * n, 0.0
-    for state in itertools.product((0, 1), repeat=n - 1):
-        state = (0, *state)
-        w = math.prod(weights[i] ** state[i] * model.pair(page.elements[i].tag)[state[page.elements[i].parent]][state[i]] for i in range(1, n))
+    for state in itertools.product((0, 1), repeat=n):
+        w = weights[0] ** state[0] * math.prod(weights[i] ** state[i] * model.pair(page.elements[i].tag)[state[page.elements[i].parent]][state[i]] for i in range(1, n))
         total += w
         mass = [m + w * s for m, s in zip(mass, state, strict=True)]
     assert model.marginals(page) == pytest.approx([m / total for m in mass], abs=1e-9)
@@ -150,6 +155,12 @@ def test_marginals_are_exact():
     ("<article><p>keep this text<script>var t='</p>'</script><style>p{}</style><!-- no > --></p><form><p>mail</p></form></article>", "keep this text"),
     ("<div class=cookie-notice><p>We use cookies</p></div><main><p>The story goes on and on here.</p></main><section class=comments><h3>Comments</h3><article class=comment><p>Nice one</p></article></section>", "The story goes on and on here."),
     ("<article><p>cut off in a tag <a href='x", "cut off in a tag"),
+    ("<body><p>One two three four.</p><p>Five six seven.</p></body>", "One two three four.\nFive six seven."),
+    ("<body><nav><ul><li><a href=x>Home</a></li></ul></nav><p>First paragraph of the text, with some words in it.</p><p>Second one.</p><footer>&copy; x</footer></body>", "First paragraph of the text, with some words in it.\nSecond one."),
+    ("<h1>Head</h1><p>no body and no wrapper</p>", "Head\nno body and no wrapper"),
+    ("<article><h1>Title of it</h1><p>R&amp<b>;lt;</b> and some words</p><p hidden>b</p><div style='x:y; display: none'><p>c d e f</p></div><p class='x hidden-y'>d text here</p></article>", "Title of it\nR&;lt; and some words\nd text here"),
+    ("<article><p>text with <script>var a=\"<x y='\"</script>a script in it</p><p>and more of it</p></article>", "text with a script in it\nand more of it"),
+    ("<article><ul><li>one item of some words<li>two of them <b>bold<li>three</ul><table><tr><td>cell<td>other cell</table></article>", "one item of some words\ntwo of them bold\nthree\ncell\nother cell"),
 ])
 def test_html_cases(source, text):
     assert html_text.model().text(source) == text
@@ -161,11 +172,63 @@ def test_html_never_fails(source):
     html_text.model().text(source)
 
 
+@pytest.mark.parametrize("source", ["</b>", "<div></span>", "<span class=a></p>", "<b class=x><li>", "<ul><li><i class=q>", "<p><b hidden>", "<title>a</title>", "<tr></td>"])
+def test_html_parses_in_linear_time(source):
+    import time
+
+    took = []
+    for n in (4000, 32000):
+        began = time.process_time()
+        html_text.parse(source * n)
+        took.append(time.process_time() - began)
+    assert took[1] < 24 * took[0] + 0.1  # 64 times, if it were quadratic
+
+
+class Article(HTMLParser):
+    """Text of a page's article, block by block, by a parser of its own: for pages whose only content is one <article>."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.inside, self.blocks = False, [""]
+
+    def handle_starttag(self, tag, attrs):
+        self.inside |= tag == "article"
+        if tag == "br":
+            self.blocks[-1] += " "
+        elif tag in html_text.BLOCK:
+            self.blocks.append("")
+
+    def handle_endtag(self, tag):
+        if tag in html_text.BLOCK:
+            self.blocks.append("")
+        self.inside &= tag != "article"
+
+    def handle_data(self, data):
+        if self.inside:
+            self.blocks[-1] += data
+
+
+def test_html_of_the_real_pages_equals_another_parser(spark, data):
+    """Every row of the table, whose pages all have the article in one element; the model has never seen them."""
+    pages = spark.read.parquet(f"{data}/pages.parquet")
+    found = {r.page_id: (r.text, r.n_chars) for r in html_text.extract(pages, keep=["page_id"]).collect()}
+    rows = pages.collect()
+    assert len(found) == len(rows) > 20
+    for r in rows:
+        other = Article()
+        other.feed(r.html)
+        other.close()
+        text = "\n".join(x for b in other.blocks if (x := " ".join(b.split())))
+        assert found[r.page_id] == (text, len(text)) and text
+
+
 def test_html_deep_and_table(spark):
     assert html_text.model().text("<div>" * 20000 + "x") in ("", "x")
     df = spark.createDataFrame([(1, "u", None, "clash"), (1, "u", "<article><p>some text</p></article>", "clash"), (None, None, "", None)], "page_id long, url string, html string, text string")
     assert sorted((r.url or "", r.text, r.n_chars) for r in html_text.extract(df, keep=["page_id", "url"]).collect()) == [("", "", 0), ("u", "", 0), ("u", "some text", 9)]
     assert html_text.extract(df.limit(0)).count() == 0
+    odd = spark.createDataFrame([("<p>some text here</p>", 1, 2)], "`a.html` string, _html long, `x.y` long")
+    assert [tuple(r) for r in html_text.extract(odd, html_col="a.html").collect()] == [(1, 2, "some text here", 14)]
 
 
 # packed tokens

@@ -496,6 +496,6 @@ def test_pipeline_stage_by_stage(spark):
     from virelay.llm import sentencepiece_agenda
     import public_tokenizers
 
-    library = sentencepiece_agenda.encoder(public_tokenizers.path("piece_bpe_32k.model"), 1).library
+    library = sentencepiece_agenda.encoder(public_tokenizers.path("piece_bpe_32k.model")).library
     assert {i: r.ids for i, r in rows[5].items()} == {i: library.encode(r.text) for i, r in rows[4].items()}
     assert {r.doc_id for r in pipeline.run(spark, sf).collect()} == set(rows[5])

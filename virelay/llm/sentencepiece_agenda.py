@@ -4,9 +4,8 @@ An agenda holds every adjacent pair of symbols whose union is a piece, best
 score first and leftmost among equals; taking pairs from it until it is empty
 gives the library's segmentation.  Texts are cut only where no piece reaches
 over (before a run of word marks, between characters that no piece has side by
-side), so the agenda runs once per distinct chunk and worker.  Of the chunks new
-to the worker a sample is checked against the library itself: every ``check``-th,
-if it begins with a word mark.
+side), so the agenda runs once per distinct chunk and worker.  In every Arrow batch
+all chunks that the agenda has just encoded are checked against the library itself.
 """
 
 from __future__ import annotations
@@ -20,10 +19,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .chunk_cache import ChunkIds, Odd, packed
-from .common import slices
+from .common import column, slices
 
 MARK = "▁"
 RUNS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
@@ -32,12 +30,11 @@ RUNS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 class AgendaEncoder:
     """Encodes with a merge-type SentencePiece model without normalisation.
 
-    ``check`` compares every ``check``-th newly encoded chunk with the library
-    (0: none, 1: all) and raises if an id differs; chunks without a leading word
-    mark (those that open a line or follow a cut) are never compared.
+    Every newly encoded chunk is compared with the library (unless ``check`` is
+    False), behind a newline, which no piece reaches over; an id that differs raises.
     """
 
-    def __init__(self, path: str, check: int = 8):
+    def __init__(self, path: str, check: bool = True):
         import sentencepiece
 
         self.library = sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -54,10 +51,11 @@ class AgendaEncoder:
         # Two characters that no piece has side by side are never merged, whatever stands around them.
         self._joined = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         self._split_lines = not any("\n" in p for p in self.ids)
-        self._check, self._seen = check, 0
+        self._check, self._ahead = check, "a\n" if self._split_lines else ""
         self._new: list[tuple[str, list[int]]] = []
         self._first, self._spaced, self._any = ChunkIds(self._line_start, 60_000), ChunkIds(self._after_space, 300_000), ChunkIds(self._chunk, 40_000)
         self._newline = array("I", self.segment("\n")).tobytes()
+        self._skip = len(sp.encode(self._ahead))
 
     def segment(self, chunk: str) -> list[int]:
         """The ids of one chunk, whose spaces are word marks already."""
@@ -102,8 +100,7 @@ class AgendaEncoder:
 
     def _chunk(self, chunk: str) -> bytes:
         ids = self.segment(chunk)
-        self._seen += 1
-        if self._check and chunk[0] == MARK and len(chunk) > 1 and self._seen % self._check == 0:
+        if self._check:
             self._new.append((chunk, ids))
         return array("I", ids).tobytes()
 
@@ -140,29 +137,39 @@ class AgendaEncoder:
             except Odd:
                 ids = b"".join(map(self._any.__getitem__, RUNS.findall(MARK + t.replace(" ", MARK))))
             out.append(np.frombuffer(ids, "<u4"))
-        if self._new:
-            said = self.library.encode([c[1:].replace(MARK, " ") for c, _ in self._new], num_threads=1)
-            for (c, ids), theirs in zip(self._new, said, strict=True):
-                if ids != theirs:
-                    raise AssertionError(f"the library encodes {c!r} as {theirs}, the agenda as {ids}")
-            self._new = []
+        self._compare()
         return out
 
+    def _compare(self) -> None:
+        """The library's word on all chunks encoded since the last time.
+
+        Without lines to split, a chunk's first mark is the one that the library puts before any text.
+        """
+        if not self._new:
+            return
+        new, self._new = self._new, []
+        if not self._ahead:
+            new = [(c[1:], ids) for c, ids in new if c[0] == MARK and len(c) > 1]
+        said = self.library.encode([self._ahead + c.replace(MARK, " ") for c, _ in new], num_threads=1)
+        for (c, ids), theirs in zip(new, said, strict=True):
+            if ids != theirs[self._skip :]:
+                raise AssertionError(f"the library encodes {c!r} as {theirs[self._skip :]}, the agenda as {ids}")
+
     def decode(self, ids: list[np.ndarray]) -> list[str]:
         return self.library.decode([x.tolist() for x in ids], num_threads=1)
 
 
-_encoders: dict[tuple[str, int], AgendaEncoder] = {}
+_encoders: dict[tuple[str, bool], AgendaEncoder] = {}
 
 
-def encoder(path: str, check: int) -> AgendaEncoder:
+def encoder(path: str, check: bool = True) -> AgendaEncoder:
     """One encoder per worker process and model file."""
     if (path, check) not in _encoders:
         _encoders[path, check] = AgendaEncoder(path, check)
     return _encoders[path, check]
 
 
-def encode_decode(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", check: int = 8, digests: bool = False) -> DataFrame:
+def encode_decode(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", check: bool = True, digests: bool = False) -> DataFrame:
     """Per row of ``df``: id, n_tokens, ids (array<int>) and decoded (string).
 
     With ``digests`` the last two are their SHA-256 instead (ids in decimal,
@@ -188,4 +195,4 @@ def encode_decode(df: DataFrame, model: str, id_col: str = "doc_id", text_col: s
                 out["decoded"] = pa.array(decoded, pa.string())
             yield pa.RecordBatch.from_pydict(out)
 
-    return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+    return df.select(column(id_col).cast("long").alias("id"), column(text_col).cast("string").alias("text")).mapInArrow(run, schema)

@@ -289,12 +289,12 @@ def test_token_files_of_a_table(spark):
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="aeinrst THE.,▁ \n\té漢<>0x", max_size=40))
 def test_agenda_equals_library(text):
-    agenda = sentencepiece_agenda.encoder(PIECES, 1)
+    agenda = sentencepiece_agenda.encoder(PIECES)
     assert agenda.encode([text])[0].tolist() == agenda.library.encode(text)
 
 
 def test_pieces_of_a_table(spark):
-    agenda = sentencepiece_agenda.encoder(PIECES, 1)
+    agenda = sentencepiece_agenda.encoder(PIECES)
     rows = sentencepiece_agenda.encode_decode(odd_table(spark), PIECES).collect()
     texts = sorted(((r.doc_id, r.text or "") for r in odd_table(spark).collect()), key=str)
     want = sorted(((i, len(x), x, agenda.library.decode(x)) for i, t in texts for x in [agenda.library.encode(t)]), key=str)
@@ -310,7 +310,7 @@ def test_pieces_of_long_unspaced_chunks(spark):
     han, digits = "".join(chr(r.randrange(0x4E00, 0x9FA5)) for _ in range(5000)), "".join(r.choice("0123456789") for _ in range(5000))
     texts = [han, digits, f"a {han}", f"a {digits}\n{digits[:3000]} b"]
     rows = sentencepiece_agenda.encode_decode(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), PIECES).collect()
-    library = sentencepiece_agenda.encoder(PIECES, 1).library
+    library = sentencepiece_agenda.encoder(PIECES).library
     assert {r.id: list(r.ids) for r in rows} == dict(enumerate(library.encode(texts)))
 
 
@@ -340,6 +340,59 @@ def test_profiles_equal_counting_in_python():
     assert sorted(counts.tolist()) == sorted(v for k, v in want.items() if not (len(k) > 1 and set(k) == {"_"}))
 
 
+def plain_grams(text):
+    """Counts of n-grams by their hash, in plain Python: letters in lower case, words between gaps."""
+    from collections import Counter
+
+    counts = Counter()
+    for word in "".join(c.lower()[0] if c.isalpha() else " " for c in text).split(" "):
+        padded = [0, *map(ord, word), 0] if word else []
+        for n in range(1, 5):
+            for i in range(len(padded) - n + 1):
+                gram = padded[i : i + n]
+                if gram != [0]:
+                    h = gram[0] + 1
+                    for x in gram[1:]:
+                        h = (h * int(langid._STEP) + x + 1) % 2**64
+                    counts[h - 2**64 if h >= 2**63 else h] += 1
+    return counts
+
+
+def plain_top(counts, size):
+    return [g for g, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:size]]
+
+
+@pytest.mark.parametrize("size", [400, 25])
+def test_predictions_equal_plain_out_of_place_distances(spark, size):
+    from collections import Counter
+
+    train = {"el": ["Η γάτα κάθισε στο χαλί", "το σπίτι είναι μεγάλο"], "ru": ["Кошка сидит на столе", "это большой дом"], "zh": ["猫坐在垫子上", "这是一个大房子 房子"], "ja": ["猫がマットの上に座った", "これは大きな家です"], "vi": ["con mèo ngồi trên chiếu", "đây là ngôi nhà lớn"], "en": ["The cat sat on the mat", "this is a big house, the house"]}
+    rows = [(k, t, lang) for k, (lang, t) in enumerate((lang, t) for lang, ts in train.items() for t in ts)]
+    found = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), size=size)
+    profiles = {}
+    for lang, texts in train.items():
+        counts = Counter()
+        for t in texts:
+            counts.update(plain_grams(t))
+        profiles[lang] = {g: k for k, g in enumerate(plain_top(counts, size))}
+    assert {x: found.ranks[i][found.ranks[i] >= 0].size for i, x in enumerate(found.langs)} == {x: len(p) for x, p in profiles.items()}
+    for text in [t for ts in train.values() for t in ts] + ["η μεγάλη γάτα", "большая кошка", "大きな猫", "大房子", "ngôi nhà", "the house 42", "quite other words", "ÀÉ", "x" * 50, "12 34", ""]:
+        doc = plain_top(plain_grams(text), size)
+        far = {lang: sum(abs(p[g] - k) if g in p else size for k, g in enumerate(doc)) for lang, p in profiles.items()}
+        best = min(sorted(far), key=far.get)
+        want = (best, 1 - far[best] / (size * len(doc))) if doc else ("und", 0.0)
+        got = found.predict(text)
+        assert got[0] == want[0] and got[1] == pytest.approx(want[1])
+    assert [found.predict(t)[0] for t in ("猫がマット", "坐在垫子上", "большая кошка", "μεγάλη γάτα")] == ["ja", "zh", "ru", "el"]
+
+
+def test_only_the_commonest_languages_are_learned(spark):
+    rows = [(k, "some text", f"l{k % 9}" if k % 2 else "en") for k in range(60)]
+    assert langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), most_langs=3).langs == ["en", "l1", "l3"]
+    odd = spark.createDataFrame([("some text", 1)], "`the.text` string, _langid_text long")
+    assert [x[0] for x in langid.predict(odd, langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string")), text_col="the.text", keep=["_langid_text"]).collect()] == [1]
+
+
 def test_languages_of_odd_rows(spark):
     train = spark.createDataFrame([(k, "the cat sat on the mat" if k % 2 else "le chat est sur la table", "r", "x", "y", "en" if k % 2 else "fr") for k in range(40)], DOC)
     profiles = langid.train(train)

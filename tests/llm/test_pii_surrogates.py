@@ -14,10 +14,19 @@ TEXTS = {
 }
 
 
+def genders(mentions):
+    """Each entity's gender: the one that its mentions tell, if they agree."""
+    told = {}
+    for m in mentions:
+        told.setdefault((m.kind, m.normal), set()).update({m.gender} - {"u"})
+    return {k: next(iter(g)) if len(g) == 1 else "u" for k, g in told.items()}
+
+
 def once(text, attempt=0):
     out, at = [], 0
+    gender = genders(pii.detect(text))
     for m in pii.detect(text):
-        out += [text[at : m.start], pii.rendered(text[m.start : m.end], m.kind, pii.surrogate(KEY, m.kind, m.normal, attempt))]
+        out += [text[at : m.start], pii.rendered(text[m.start : m.end], m.kind, pii.surrogate(KEY, m.kind, m.normal, attempt, gender[m.kind, m.normal]))]
         at = m.end
     return "".join([*out, text[at:]])
 
@@ -45,8 +54,8 @@ def test_check_digits_stay_valid():
 
 def test_names_by_gender_script_and_coreference():
     new = once("Mr. John Smith met Mrs Smith, Dr Anna Lee and г-жа Мария Петрова. MR SMITH")
-    m = re.fullmatch(r"Mr\. (\w+) (\w+) met Mrs (\w+), Dr (\w+) (\w+) and г-жа (\w+) (\w+)\. MR SMITH", new)
-    assert m[2] == m[3] and len({m[1], m[2], m[4], m[5]}) == 4
+    m = re.fullmatch(r"Mr\. (\w+) (\w+) met Mrs (\w+), Dr (\w+) (\w+) and г-жа (\w+) (\w+)\. MR (\w+)", new)
+    assert m[2] == m[3] and m[8] == m[2].upper() and len({m[1], m[2], m[4], m[5]}) == 4
     assert m[1].endswith(("on", "er", "us")) and m[4].endswith(("a", "ia", "ine")) and re.fullmatch("[А-Яа-я]+", m[6] + m[7]) and m[6].endswith(("а", "ия", "ина"))
 
 
@@ -77,16 +86,97 @@ def test_table(spark):
 
 def test_collisions_are_drawn_again(spark, monkeypatch):
     """With draws from ten values only, distinct entities still get distinct surrogates, none of them a real value."""
-    monkeypatch.setattr(pii, "surrogate", lambda key, kind, normal, attempt: str(pii.Draw(key, kind, normal, attempt).below(10 if attempt < 4 else 1000)))
-    monkeypatch.setattr(pii, "WIDEN", 4)
-    df = spark.createDataFrame([("k", str(n)) for n in range(40)] + [("j", "1")], "kind string, normal string")
+    monkeypatch.setattr(pii, "surrogate", lambda key, kind, normal, attempt, gender: str(pii.Draw(key, kind, normal, attempt).below(10 if attempt < 4 else 1000)))
+    df = spark.createDataFrame([("k", str(n), "u") for n in range(40)] + [("j", "1", "u")], "kind string, normal string, gender string")
     got = pii.assigned(df, KEY).collect()
-    own = [r.surrogate for r in got if r.kind == "k"]
-    assert len(got) == 41 and len(set(own)) == 40 and not set(own) & {str(n) for n in range(40)}
+    own = [r.surrogate for r in got]
+    assert len(got) == 41 and len(set(own)) == 41 and not set(own) & {str(n) for n in range(40)}
     again = {(r.kind, r.normal): r.surrogate for r in pii.assigned(df.repartition(7), KEY).collect()}
     assert again == {(r.kind, r.normal): r.surrogate for r in got}
 
 
+def brute_assigned(entities, key):
+    """Rounds of draws in plain Python; entities are (kind, normal) with their gender."""
+    taken = {x for kind, normal in entities for x in ((normal, normal + "а") if kind == "surname-cyrillic" else (normal,))}
+    todo, out, attempt = sorted(entities), {}, 0
+    while todo:
+        first = {}
+        for kind, normal in todo:
+            first.setdefault(pii.surrogate(key, kind, normal, attempt, entities[kind, normal]), (kind, normal))
+        out |= {entity: s for s, entity in first.items() if s not in taken}
+        taken |= set(first)  # what was real stays taken, what was given is
+        todo, attempt = [x for x in todo if x not in out], attempt + 1
+    return out
+
+
+def test_a_full_range_widens(spark):
+    """Every address of a form is real: none is left in it, and all entities still get surrogates of their own."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    entities = {("email", f"{a}@{b}.example"): "u" for a in letters for b in letters} | {("card", "4111111111111111"): "u", ("name-latin", "kim"): "f", ("name-latin", "lee"): "u"}
+    df = spark.createDataFrame([(*k, g) for k, g in entities.items()], "kind string, normal string, gender string")
+    got = {(r.kind, r.normal): r.surrogate for r in pii.assigned(df, KEY).collect()}
+    assert got == brute_assigned(entities, KEY)
+    assert len(set(got.values())) == len(got) and not set(got.values()) & {n for _, n in entities}
+
+
+PROBES = {
+    "Dr. Anna Keller spoke. Keller said no. Anna left.": r"Dr\. (?P<a>\w+) (?P<k>\w+) spoke\. (?P=k) said no\. (?P=a) left\.",
+    "Dr Kim Lee and Mrs Kim Lee": r"Dr (?P<a>\w+) (?P<b>\w+) and Mrs (?P=a) (?P=b)",
+    "met Emily Johnson or Olivia Brown": r"met \w+ \w+ or \w+ \w+",
+    "My name is Zaphod Beeblebrox. Dear Trillian, see Zaphod": r"My name is (?P<z>\w+) \w+\. Dear \w+, see (?P=z)",
+    "Jo Bloggs <jo@acme.co>": r"\w+ \w+ <\w\w@\w{4}\.example>",
+    "call 555 123 4567 or 020 7946 0958 or 06 12 34 56 78": r"call \d{3} 555 01\d\d or 02\d \d{4} \d{4} or 06 \d\d \d\d \d\d \d\d",
+    "at 2001:db8::1, fe80::1ff:fe23:4567:890a at 12:30:45": r"at 2001:db8::[0-9a-f]{1,4}, fe80::[0-9a-f:]+ at 12:30:45",
+    "my password is hunter2secret.": r"my password is \w{13}\.",
+    "passport no. C01X00T47 or Passport number: 123456789": r"passport no\. [A-Z]\d\d[A-Z]\d\d[A-Z]\d\d or Passport number: \d{9}",
+    "born on 12 May 1980; DOB: 1980-05-12": r"born on \d\d [A-Z][a-z]+ \d{4}; DOB: \d{4}-\d\d-\d\d",
+    "at 12 Baker Street or Hauptstraße 12a or 12 rue de la Paix": r"at \d\d \w+ Street or \w+straße \d\da or \d\d rue de la \w+",
+    "ns 8.8.8.8, 10.1.2.3 and 192.168.1.5": r"ns 2[45]\d\.\d\.\d\.\d, 10\.\d\.\d\.\d and 192\.168\.\d\.\d",
+    "г-н Иван Иванов и госпожа Анна Иванова": r"г-н \w+ (?P<i>\w+в) и госпожа \w+ (?P=i)а",
+}
+
+
+@pytest.mark.parametrize("text", PROBES)
+def test_probes(text):
+    new = once(text)
+    assert re.fullmatch(PROBES[text], new), new
+    assert not {text[m.start : m.end] for m in pii.detect(text)} & {new[m.start : m.end] for m in pii.detect(new)}
+
+
+def test_same_domain_and_numbers_without_check_digits():
+    a, b = once("x1@acme.com"), once("other@acme.com")
+    assert a.split("@")[1] == b.split("@")[1] != "acme.com" and a.endswith(".example.com")
+    assert pii.detect("order 9807915762804490 of 4111111111111112") == []
+
+
+def test_many_mentions_in_linear_time():
+    import time
+
+    took = []
+    for n in (2000, 16000):
+        text = "x a1@b.co 10.0.0.1 Mr Jo Doe " * n
+        began = time.process_time()
+        assert len(pii.detect(text)) == 4 * n
+        took.append(time.process_time() - began)
+    assert took[1] < 24 * took[0] + 0.2
+
+
+def test_table_equals_brute_force(spark):
+    """Coreference and distinctness over a table: every entity has one surrogate everywhere, no two the same, none real."""
+    texts = [*PROBES, *TEXTS.values(), "Kim Lee", "Mr Kim", "Ms Lee wrote to a@b.co, c@d.co from 8.8.8.8", "clean", None]
+    df = spark.createDataFrame([(k, t, 1, 2) for k, t in enumerate(texts)], "doc_id long, `a.text` string, _row int, mentions int")
+    found = {k: pii.detect(t or "") for k, t in enumerate(texts)}
+    names = brute_assigned(genders(m for ms in found.values() for m in ms), KEY)
+    got = {r.doc_id: r for r in pii.with_surrogates(df, KEY, text_col="a.text").collect()}
+    assert df.columns + ["n_replaced"] == list(got[0].asDict()) and len(set(names.values())) == len(names)
+    for k, t in enumerate(texts):
+        out, at = [], 0
+        for m in found[k]:
+            out += [t[at : m.start], pii.rendered(t[m.start : m.end], m.kind, names[m.kind, m.normal])]
+            at = m.end
+        assert got[k]["a.text"] == (None if t is None else "".join([*out, t[at:]])) and got[k].n_replaced == len(found[k])
+
+
 def test_whole_documents(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet")
     before = {r.doc_id: r.text for r in docs.collect()}

@@ -35,8 +35,12 @@ def test_run(spark, tmp_path):
     assert [(r.protein, r.classification) for r in final[:2]] == [("c_1", "metabolic"), ("c_2", "physiological")] and len(final) == 6
     assert {(r.category, r.name) for r in run.sequences.filter("confidence = 'all'").collect()} == {("metabolic", "c_1"), ("physiological", "c_1"), ("physiological", "c_2")}
     Engine(spark).write(run, str(tmp_path))
-    head = next(next(iter(tmp_path.glob("final_results.tsv/*.csv"))).open()).rstrip("\n").split("\t")
-    assert head == list(schemas.FINAL_COLUMNS.values())
+    lines = (tmp_path / "results/final_results.tsv").read_text().splitlines()
+    assert lines[0].split("\t") == list(schemas.FINAL_COLUMNS.values()) and [x.split("\t")[0] for x in lines[1:3]] == ["c_1", "c_2"] and len(lines) == 7
+    assert (tmp_path / "results/physiology_genes_curated.tsv").read_text().startswith("Protein\t") and (tmp_path / "results/faa_physiology/APGs_high_confidence.faa").read_text() == ""
+    assert (tmp_path / "results/faa_metabolic/AMGs_all.faa").read_text().startswith('>c_1 "K1 good enzyme"\nMK')
+    assert (tmp_path / "wdir/filtered_proteins/file=f").exists() and {r.viral_origin_confidence for r in final} == {None}
+    run.close()
 
 
 def test_streamed_batches_equal_the_table(spark, tmp_path):
@@ -57,7 +61,48 @@ def test_command(spark, tmp_path):
     (tmp_path / "KEGG.tsv").write_text("c_1\tK1\t1.0E-30\t300.0\t300\t1\t290\n")
     (tmp_path / "m.tsv").write_text("id\tV-score\tVL-score\tdb\tname\nK1\t1\t1\tKEGG\tx\n")
     assert main(["annotate", "-p", f"{tmp_path}/p.faa", "-d", f"{tmp_path}/KEGG.tsv", "-o", f"{tmp_path}/out", "--metabolic", f"{tmp_path}/m.tsv"]) == 0
-    assert (tmp_path / "out/metabolic_genes_curated.tsv").exists() and (tmp_path / "out/faa/category=metabolic/confidence=all").exists()
+    results = tmp_path / "out/results"
+    assert (results / "metabolic_genes_curated.tsv").read_text().count("\n") == 2 and (results / "faa_metabolic/AMGs_all.faa").read_text().startswith(">c_1")
+    assert "hits:" in (tmp_path / "out/config_annotate.yaml").read_text()
+
+
+def test_command_with_cutoffs_scorer_plugins_and_kept_stages(spark, tmp_path):
+    from virelay.__main__ import main
+
+    (tmp_path / "g.fna").write_text("".join(f">{c}\n{'ACGT' * 1500}\n" for c in "ab") + ">short\nACGT\n")
+    (tmp_path / "cut.csv").write_text("db,hmm_id,value\nKEGG,K0,1000000\n")
+    common = ["annotate", "-i", "nucl", "-g", f"{tmp_path}/g.fna", "--gene_finder", "virelay.plans.detail_queries:two_genes", "--profile_search", "virelay.plans.detail_queries:by_length", "-f", "2"]
+    assert main([*common, "-o", f"{tmp_path}/out", "--scorer", "rule"]) == 0
+    rows = [x.split("\t") for x in (tmp_path / "out/results/final_results.tsv").read_text().splitlines()]
+    assert sorted(r[0] for r in rows[1:]) == ["a_1", "a_2", "b_1", "b_2"] and {r[4] for r in rows[1:]} == {"low"} and all("K0" in r for r in rows[1:])
+    # Kept stages answer for the same output; a cut-off counts once they are done again.
+    assert main([*common, "-o", f"{tmp_path}/out", "--cutoffs", f"{tmp_path}/cut.csv"]) == 0
+    assert "K0" in (tmp_path / "out/results/final_results.tsv").read_text()
+    assert main([*common, "-o", f"{tmp_path}/out", "--cutoffs", f"{tmp_path}/cut.csv", "--again"]) == 0
+    assert "K0" not in (tmp_path / "out/results/final_results.tsv").read_text()
+
+
+def test_circularity_of_whole_texts_equals_brute_force(spark, data):
+    from virelay.plans import detail_queries
+
+    texts = {str(r.doc_id): (r.text or "").upper() for r in spark.read.parquet(f"{data}/documents.parquet").collect()}
+    rows = {r.contig: r for r in detail_queries.circularity_of_texts(spark, data).collect()}
+    assert set(rows) == set(texts)
+    for name, seq in texts.items():
+        n = len(seq) - 14
+        direct = next((seq[p:] for p in range(-(-len(seq) // 2), len(seq) - 19) if seq.startswith(seq[p : p + 20]) and seq.startswith(seq[p:])), "")
+        assert rows[name].contig_length == len(seq) and (rows[name].prediction_type == "DTR") == bool(direct)
+        assert rows[name].kmer_freq == (round(n / len({seq[i : i + 15] for i in range(n)}), 6) if n > 0 else None)
+
+
+def test_category_and_hit_table_warnings(spark, tmp_path, caplog):
+    from virelay.sources import tables
+
+    (tmp_path / "good.tsv").write_text("db\tsequence\thmm_id\tevalue\tscore\tlength\tstart\tend\nPfam\ts\tPF1\t1e-5\t9.5\t10\t1\t9\nbroken\n")
+    got = tables.read_hit_tables(spark, [f"{tmp_path}/good.tsv", f"{tmp_path}/missing.tsv"]).collect()
+    assert [(r.sequence, r.score) for r in got] == [("s", 9.5)]
+    assert "missing.tsv can't be read" in caplog.text and "1 lines of" in caplog.text
+    assert tables.read_ids(spark, f"{tmp_path}/none.csv").count() == 0 and "no id table" in caplog.text
 
 
 def test_command_refuses_wrong_inputs(capsys):
@@ -65,7 +110,7 @@ def test_command_refuses_wrong_inputs(capsys):
 
     from virelay.__main__ import main
 
-    for bad in (["annotate", "-d", "x", "-o", "y"], ["annotate", "-d", "x", "-o", "y", "-p", "a", "-g", "b"], ["annotate", "-d", "x", "-o", "y", "-p", "a", "-i", "nucl"]):
+    for bad in (["annotate", "-d", "x", "-o", "y"], ["annotate", "-p", "x", "-o", "y"], ["annotate", "-p", "a", "-d", "x", "-o", "y", "--scorer", "model"], ["annotate", "-d", "x", "-o", "y", "-p", "a", "-g", "b"], ["annotate", "-d", "x", "-o", "y", "-p", "a", "-i", "nucl"]):
         with pytest.raises(SystemExit):
             main(bad)
 
@@ -91,7 +136,7 @@ def test_model_scorer(spark, tmp_path):
 
     from virelay.operators import score
 
-    for name, value in (("m", Halves()), ("f", ["x"]), ("t", {"high": 0.9, "medium": 0.5})):
+    for name, value in (("m", Halves()), ("f", ["x"]), ("t", {"high": {"threshold": 0.9}, "medium": {"threshold": 0.5}})):
         (tmp_path / name).write_bytes(pickle.dumps(value))
     scorer = score.load_scorer(*[f"{tmp_path}/{n}" for n in "mft"])
     rows = spark.createDataFrame([("c", 0.5)], "contig string, x double").toPandas()[["x"]]

@@ -4,6 +4,7 @@ import duckdb
 import pandas as pd
 import pytest
 
+from virelay.plans import detail_queries
 from virelay.plans import queries as plans
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -24,7 +25,7 @@ def plain(df: pd.DataFrame) -> pd.DataFrame:
     return df.sort_values(list(df.columns)).reset_index(drop=True)
 
 
-@pytest.mark.parametrize("name", sorted(plans.QUERIES))
+@pytest.mark.parametrize("name", sorted(plans.SQL))
 def test_same_as_sql(spark, duck, data, name):
     got = plain(plans.QUERIES[name](spark, data).toPandas())
     pd.testing.assert_frame_equal(got, plain(duck.execute(plans.SQL[name]).df()))

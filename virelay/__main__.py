@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import argparse
+import importlib
+import json
 import logging
 import sys
 
@@ -21,7 +23,7 @@ def parser() -> argparse.ArgumentParser:
     a.add_argument("-vg", "--vmags", help="folder of nucleotide FASTA files, one for each genome")
     a.add_argument("-p", "--proteins", help="protein FASTA of single-contig genomes")
     a.add_argument("-vp", "--vmag_proteins", help="folder of protein FASTA files, one for each genome")
-    a.add_argument("-d", "--hits", required=True, help="raw hit tables; a file's name tells its database")
+    a.add_argument("-d", "--hits", help="raw hit tables; a file's name tells its database")
     a.add_argument("-o", "--output", required=True)
     for name in ("vscores", "descriptions", "mobile", "hallmark", "kegg_cutoffs", "foam_cutoffs", "metabolic", "physiological", "regulatory", "false_metabolic", "false_physiological", "false_regulatory"):
         a.add_argument(f"--{name}", help="table of this name")
@@ -38,14 +40,25 @@ def parser() -> argparse.ArgumentParser:
     a.add_argument("-V", "--min_flank_Vscore", type=float, default=d.min_flank_vscore)
     a.add_argument("-H", "--use_hallmark", action="store_true")
     a.add_argument("--normalize_pfam", action="store_true")
+    a.add_argument("--cutoffs", help="cut-offs of any database: db, hmm_id, value (gathering scores of Pfam and METABOLIC, for example)")
+    a.add_argument("--scorer", choices=("none", "rule", "model"), default="none", help="what labels the viral origin; none leaves it open")
+    for name in ("model", "model_features", "model_thresholds"):
+        a.add_argument(f"--{name}", help="pickled artefact of --scorer model")
+    a.add_argument("--gene_finder", help="module:function that finds genes in nucleotide input")
+    a.add_argument("--profile_search", help="module:function that searches proteins, instead of --hits")
+    a.add_argument("--again", action="store_true", help="do all stages again that an earlier run into the same output has kept")
     a.add_argument("--compat", action="store_true", help="keep the original tool's quirks")
     return top
 
 
 def checked(args: argparse.Namespace, error) -> None:
     """Which inputs go with which input type."""
-    if not (args.proteins or args.vmag_proteins):
-        error("proteins are needed: --proteins, --vmag_proteins, or both (find genes in nucleotide input first, or with virelay.operators.plugins)")
+    if not (args.proteins or args.vmag_proteins or args.gene_finder):
+        error("proteins are needed: --proteins, --vmag_proteins, or a --gene_finder for nucleotide input")
+    if not (args.hits or args.profile_search):
+        error("--hits or a --profile_search is needed")
+    if args.scorer == "model" and not (args.model and args.model_features and args.model_thresholds):
+        error("--scorer model needs --model, --model_features and --model_thresholds")
     if args.input_type == "prot" and (args.genomes or args.vmags):
         error("--genomes and --vmags go with --input_type nucl")
     if args.input_type == "nucl" and not (args.genomes or args.vmags):
@@ -59,6 +72,12 @@ def settings(args: argparse.Namespace) -> EngineConfig:
     )
 
 
+def named(function: str):
+    """What ``module:function`` names."""
+    module, _, name = function.partition(":")
+    return getattr(importlib.import_module(module), name)
+
+
 def main(argv: list[str] | None = None) -> int:
     top = parser()
     args = top.parse_args(argv)
@@ -69,17 +88,26 @@ def main(argv: list[str] | None = None) -> int:
     from pyspark.sql import SparkSession
 
     from . import schemas
+    from .operators import plugins, score
+    from .operators.sequences import enough_genes, long_enough
     from .plans.annotate import Engine, Inputs
     from .sources import fasta, tables
+    from .sources.files import concatenated
 
     spark = SparkSession.builder.appName("virelay").getOrCreate()
     optional = lambda path, read: read(path) if path else None
     cutoffs = tables.read_thresholds(spark, args.kegg_cutoffs, "KEGG", "threshold").unionByName(tables.read_thresholds(spark, args.foam_cutoffs, "FOAM", "cutoff_full"))
+    cutoffs = cutoffs.unionByName(tables.read_cutoffs(spark, args.cutoffs))
+    contigs = fasta.read_sequences(spark, args.genomes, args.vmags) if args.genomes or args.vmags else None
+    if args.proteins or args.vmag_proteins:
+        proteins = fasta.read_sequences(spark, args.proteins, args.vmag_proteins, fasta.PROTEIN)
+    else:
+        proteins = plugins.predicted_proteins(long_enough(contigs, args.min_len), named(args.gene_finder))
     names = ("metabolic", "physiological", "regulatory")
     inputs = Inputs(
-        proteins=fasta.read_sequences(spark, args.proteins, args.vmag_proteins, fasta.PROTEIN),
-        raw_hits=tables.read_raw_hits(spark, args.hits),
-        contigs=fasta.read_sequences(spark, args.genomes, args.vmags) if args.genomes or args.vmags else None,
+        proteins=proteins,
+        raw_hits=tables.read_raw_hits(spark, args.hits) if args.hits else plugins.searched(enough_genes(proteins, args.min_orf), named(args.profile_search)),
+        contigs=contigs,
         thresholds=cutoffs,
         vscores=optional(args.vscores, lambda p: tables.read_csv(spark, p, schemas.VSCORES)),
         descriptions=optional(args.descriptions, lambda p: tables.read_csv(spark, p, schemas.DESCRIPTIONS)),
@@ -88,13 +116,18 @@ def main(argv: list[str] | None = None) -> int:
         classes={n: tables.read_class_list(spark, getattr(args, n)) for n in names if getattr(args, n)},
         keywords={n: tables.read_keywords(spark, getattr(args, f"false_{n}")) for n in names if getattr(args, f"false_{n}")},
     )
-    engine = Engine(spark, settings(args))
+    scorer = {"none": lambda: None, "rule": score.RuleScorer, "model": lambda: score.load_scorer(args.model, args.model_features, args.model_thresholds)}[args.scorer]()
+    engine = Engine(spark, settings(args), scorer, f"{args.output}/wdir/kept", args.again)
     run = engine.annotate(inputs)
     engine.write(run, args.output)
     for row in run.final.groupBy("classification", "viral_origin_confidence").count().orderBy("classification", "viral_origin_confidence").collect():
         LOG.info("%s, %s: %d proteins", *row)
     for row in run.missing.groupBy("category").count().collect():
         LOG.warning("%d proteins of class %s have no sequence", row["count"], row.category)
+    run.close()
+    settings_file = "".join(f"{k}: {json.dumps(v)}\n" for k, v in sorted(vars(args).items()))
+    spark.createDataFrame([(settings_file,)], "value string").coalesce(1).write.mode("overwrite").text(f"{args.output}/.config")
+    concatenated(spark, f"{args.output}/.config", f"{args.output}/config_annotate.yaml")
     return 0
 
 

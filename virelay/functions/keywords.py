@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 # Keywords that match as whole words only.
 WHOLE_WORDS = ("lysin", "adp")
-EXACT_ENZYME = re.compile(r"EC[:\s]\d+\.\d+\.\d+\.\d+")
+EXACT_ENZYME = re.compile(r"EC[:\s](?P<number>\d+\.\d+\.\d+\.\d+)")
 
 
 def quoted(text: str) -> str:
@@ -21,9 +21,8 @@ def pattern_of(keyword: str) -> str:
     """A keyword's pattern, without flags: whole word, exact enzyme number or plain substring."""
     if keyword.lower() in WHOLE_WORDS:
         return rf"\b{quoted(keyword.lower())}\b"
-    if EXACT_ENZYME.fullmatch(keyword):
-        number = keyword.split()[-1] if " " in keyword else keyword.split(":")[-1]
-        return rf"\bEC[:\s]{quoted(number)}\b"
+    if enzyme := EXACT_ENZYME.fullmatch(keyword):
+        return rf"\bEC[:\s]{quoted(enzyme['number'])}\b"
     return quoted(keyword)
 
 

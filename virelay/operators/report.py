@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import FINAL_COLUMNS
+from ..sources.fasta import last_of_each_name
 from .curate import CLASS_ORDER, CONFIDENCE_ORDER, rank_of
 
 #: Where descriptions of proteins with a PHROG top hit come from, in order.
@@ -37,12 +38,15 @@ def header_description() -> Column:
 
 
 def category_sequences(members: dict[str, DataFrame], proteins: DataFrame) -> DataFrame:
-    """category, confidence (high, medium, low and all), name, description, seq of each class's proteins."""
+    """category, confidence (high, medium, low and all), name, description, seq of each class's proteins; of repeated names the last record."""
     rows = None
     for name, table in members.items():
         own = table.select(F.lit(name).alias("category"), F.coalesce("viral_origin_confidence", F.lit("low")).alias("confidence"), F.col("protein").alias("name"), header_description().alias("description"))
         rows = own if rows is None else rows.unionByName(own)
-    rows = rows.dropDuplicates(["category", "name"]).join(proteins.select("name", "seq"), "name")
+    rows = rows.dropDuplicates(["category", "name"])
+    known = proteins.select(*[c for c in ("source_file", "name", "description", "seq") if c in proteins.columns])
+    known = last_of_each_name(known.join(rows.select("name").distinct(), "name", "left_semi"))
+    rows = rows.join(known.select("name", "seq"), "name")
     return rows.withColumn("confidence", F.explode(F.array("confidence", F.lit("all")))).select("category", "confidence", "name", "description", "seq")
 
 

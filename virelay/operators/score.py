@@ -24,9 +24,9 @@ class Scorer(Protocol):
 
 @dataclass(frozen=True)
 class RuleScorer:
-    """The default where no trained model is given: a fixed logistic rule, as a column expression.
+    """A logistic rule as a column expression, for use without a trained model, where it is asked for.
 
-    Weights are per unit of the feature; null features count as 0.
+    The default weights are an example and not fitted to anything.  Weights are per unit of the feature; null features count as 0.
     """
 
     weights: dict[str, float] = field(default_factory=lambda: {"window_avg_kegg_vl_score": 0.5, "window_avg_pfam_vl_score": 0.5, "window_avg_phrog_vl_score": 0.5, "circular_contig": 0.8})
@@ -44,6 +44,14 @@ class RuleScorer:
         return 1 / (1 + F.exp(-total))
 
 
+@dataclass(frozen=True)
+class NoScorer:
+    """Where no trained model is given and no rule is asked for: nothing is said about the origin."""
+
+    features: list[str] = field(default_factory=list)
+    thresholds: dict[str, float] = field(default_factory=dict)
+
+
 @dataclass(frozen=True)
 class ModelScorer:
     """A trained classifier with ``predict_proba``, its ordered features and thresholds; sent to the workers once."""
@@ -70,7 +78,8 @@ def load_scorer(model: str, features: str, thresholds: str) -> ModelScorer:
             with open(path, "rb") as f:
                 return pickle.load(f)
 
-    return ModelScorer(load(model), list(load(features)), dict(load(thresholds)))
+    bounds = {k: v["threshold"] if isinstance(v, dict) else v for k, v in dict(load(thresholds)).items()}
+    return ModelScorer(load(model), list(load(features)), bounds)
 
 
 def by_mode(name: str) -> bool:
@@ -101,8 +110,10 @@ def confidence(probability: Column, thresholds: dict[str, float]) -> Column:
     return F.when(probability >= thresholds["high"], "high").when(probability >= thresholds["medium"], "medium").otherwise("low")
 
 
-def scored(genes: DataFrame, scorer: Scorer | RuleScorer, contig: tuple[str, ...] = CONTIG) -> DataFrame:
-    """Adds ``viral_prob`` and ``viral_origin_confidence``."""
+def scored(genes: DataFrame, scorer: Scorer | RuleScorer | NoScorer, contig: tuple[str, ...] = CONTIG) -> DataFrame:
+    """Adds ``viral_prob`` and ``viral_origin_confidence``, both null without a scorer."""
+    if isinstance(scorer, NoScorer):
+        return genes.withColumns({"viral_prob": F.lit(None).cast("double"), "viral_origin_confidence": F.lit(None).cast("string")})
     if isinstance(scorer, RuleScorer):
         present = RuleScorer({k: w for k, w in scorer.weights.items() if k in genes.columns}, scorer.bias, scorer.thresholds)
         out = genes.withColumn("viral_prob", present.column())

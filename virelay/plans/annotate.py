@@ -6,6 +6,7 @@ hits, and the genes with context) is persisted, the rest is left to Catalyst.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -14,10 +15,11 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..config import CLASSES, SCORED, EngineConfig
-from ..functions.names import strip_version
+from ..functions.names import nucleotide_file_name, strip_version
 from ..operators import circular, context, curate, hits, report, score, sequences
 from ..sources.fasta import gene_index
-from ..sources.sinks import write_fasta, write_tsv
+from ..sources.sinks import write_category_files, write_fasta, write_tsv
+from .resume import kept
 
 
 @dataclass
@@ -53,13 +55,24 @@ class Results:
     final: DataFrame
     sequences: DataFrame
     missing: DataFrame
+    contigs: DataFrame
+    proteins: DataFrame
+
+    def close(self) -> None:
+        """Gives back what the session holds of the run."""
+        self.context.unpersist()
 
 
 class Engine:
     """Annotates and curates the genes of viral genomes."""
 
-    def __init__(self, spark: SparkSession, config: EngineConfig = EngineConfig(), scorer: score.Scorer | score.RuleScorer | None = None):
-        self.spark, self.config, self.scorer = spark, config, scorer or score.RuleScorer()
+    def __init__(self, spark: SparkSession, config: EngineConfig = EngineConfig(), scorer: score.Scorer | score.RuleScorer | None = None, workdir: str | None = None, again: bool = False):
+        """Without a ``scorer`` the origin stays open.  In ``workdir`` the hits and the genes with their context are kept, and a run that broke off goes on from them, unless ``again``."""
+        self.spark, self.config, self.scorer = spark, config, scorer or score.NoScorer()
+        self.workdir, self.again = workdir, again
+
+    def _stage(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        return kept(self.spark, f"{self.workdir}/{name}", build, self.again) if self.workdir else build()
 
     def _or_empty(self, table: DataFrame | None, schema: str) -> DataFrame:
         return table if table is not None else self.spark.createDataFrame([], schema)
@@ -72,10 +85,10 @@ class Engine:
         proteins = sequences.enough_genes(inputs.proteins, c.min_genes)
         index = gene_index(proteins)
 
-        best = hits.best_hits(hits.accepted(inputs.raw_hits, self._or_empty(inputs.thresholds, schemas.THRESHOLDS), c), c.compat)
+        best = self._stage("best_hits", lambda: hits.best_hits(hits.accepted(inputs.raw_hits, self._or_empty(inputs.thresholds, schemas.THRESHOLDS), c), c.compat))
         genes = hits.annotated_index(index, best, self._or_empty(inputs.vscores, schemas.VSCORES), c.compat)
         genes = self.with_context(genes, circular.circular_contigs(repeats), self._or_empty(inputs.mobile, schemas.ID_SET), self._or_empty(inputs.hallmark, schemas.ID_SET))
-        genes = genes.persist(StorageLevel.MEMORY_AND_DISK)
+        genes = self._stage("context", lambda: genes) if self.workdir else genes.persist(StorageLevel.MEMORY_AND_DISK)
 
         table = self.annotations(genes, self._or_empty(inputs.descriptions, schemas.DESCRIPTIONS))
         curated = {}
@@ -91,6 +104,7 @@ class Engine:
             final=report.final_table(final),
             sequences=report.category_sequences(curated, proteins) if curated else none,
             missing=report.missing_sequences(curated, proteins) if curated else none.select("category", "name"),
+            contigs=sequences.long_enough(contigs, c.min_length), proteins=proteins,
         )
 
     def with_context(self, genes: DataFrame, circular_ids: DataFrame, mobile: DataFrame, hallmark: DataFrame) -> DataFrame:
@@ -131,10 +145,20 @@ class Engine:
         return rows.select(*schemas.ANNOTATION_COLUMNS, "gene_number").dropDuplicates()
 
     def write(self, results: Results, folder: str) -> None:
-        """Writes the tables and sequence files of a run below ``folder``."""
-        write_tsv(results.circular, f"{folder}/circular_contigs.tsv")
-        write_tsv(results.annotations.orderBy("genome", "contig", "gene_number"), f"{folder}/gene_annotations.tsv", schemas.ANNOTATION_COLUMNS)
+        """Writes the tables and sequence files of a run below ``folder``.
+
+        ``results`` has the tables and a file for each class and confidence;
+        ``wdir`` the circular contigs, and the contigs and proteins that passed
+        the filters, in a folder for each source file.
+        """
+        write_tsv(results.circular, f"{folder}/wdir/circular_contigs.tsv", {c: c for c in schemas.CIRCULAR_COLUMNS})
+        for name, records in (("contigs", results.contigs), ("proteins", results.proteins)):
+            own = nucleotide_file_name(F.col("source_file")) if name == "contigs" else F.element_at(F.split("source_file", "/"), -1)
+            write_fasta(records.withColumn("file", own), f"{folder}/wdir/filtered_{name}", by=["file"])
+        write_tsv(results.context.orderBy("genome", "contig", "gene_number"), f"{folder}/results/genes_genomic_context.tsv")
+        write_tsv(results.annotations.orderBy("genome", "contig", "gene_number"), f"{folder}/results/gene_annotations.tsv", schemas.ANNOTATION_COLUMNS)
         for name, table in results.curated.items():
-            write_tsv(table.orderBy("genome", "contig", "gene_number"), f"{folder}/{name}_genes_curated.tsv", schemas.ANNOTATION_COLUMNS)
-        write_tsv(results.final, f"{folder}/final_results.tsv", schemas.FINAL_COLUMNS)
-        write_fasta(results.sequences, f"{folder}/faa", by=["category", "confidence"])
+            write_tsv(table.orderBy("genome", "contig", "gene_number"), f"{folder}/results/{schemas.OUTPUT_NAMES[name][1]}_genes_curated.tsv", schemas.ANNOTATION_COLUMNS)
+        write_tsv(results.final, f"{folder}/results/final_results.tsv", schemas.FINAL_COLUMNS)
+        files = {(name, level): f"faa_{schemas.OUTPUT_NAMES[name][0]}/{schemas.OUTPUT_NAMES[name][2]}_{level}{'' if level == 'all' else '_confidence'}.faa" for name in results.curated for level in ("high", "medium", "low", "all")}
+        write_category_files(results.sequences, f"{folder}/results", files)

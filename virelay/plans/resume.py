@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.tables import exists
+from ..sources.files import exists
 
 
 def kept(spark: SparkSession, path: str, build: Callable[[], DataFrame], again: bool = False) -> DataFrame:

@@ -10,6 +10,7 @@ CIRCULAR = (
     "contig string, contig_length long, kmer_freq double, prediction_type string, repeat_length long, repeat_count long,"
     " repeat_n_freq double, repeat_mode_base_freq double, repeat_seq string, flagged boolean, reason string"
 )
+CIRCULAR_COLUMNS = [x.split()[0] for x in CIRCULAR.split(",")[:9]]
 HITS_RAW = "db string, sequence string, hmm_id string, evalue double, score double, length long, start long, end long"
 HITS_BEST = "db string, sequence string, hmm_id string, score double, hmm_coverage double"
 THRESHOLDS = "db string, hmm_id string, value double"
@@ -30,6 +31,9 @@ ANNOTATION_COLUMNS = {
     "mge_flanking": "MGE_Flanking_Genes",
 }
 
+# What output files call a class: its sequence folder, its table, its proteins.
+OUTPUT_NAMES = {"metabolic": ("metabolic", "metabolic", "AMGs"), "physiological": ("physiology", "physiology", "APGs"), "regulatory": ("regulatory", "regulation", "AReGs")}
+
 #: Display names of the final table's columns, in order.
 FINAL_COLUMNS = {
     "protein": "Protein", "contig": "Contig", "genome": "Genome",

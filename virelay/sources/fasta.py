@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import contig_of, file_stem
+from .files import exists
 
 NUCLEOTIDE = ("fasta", "fa", "fna")
 PROTEIN = ("fasta", "fa", "faa")
@@ -56,10 +57,8 @@ def read_sequences(spark: SparkSession, single: str | None = None, vmag_dir: str
 
 def protein_records(spark: SparkSession, folder: str) -> DataFrame:
     """Proteins of ``single_contig_proteins.faa`` and ``vMAG_proteins/*.faa`` below ``folder``; an error if neither exists."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
     single, many = f"{folder}/single_contig_proteins.faa", f"{folder}/vMAG_proteins"
-    there = [p if fs.exists(path(p)) else None for p in (single, many)]
+    there = [p if exists(spark, p) else None for p in (single, many)]
     if not any(there):
         raise FileNotFoundError(f"no protein file below {folder}")
     return read_sequences(spark, *there, extensions=("faa",))
@@ -67,7 +66,7 @@ def protein_records(spark: SparkSession, folder: str) -> DataFrame:
 
 def last_of_each_name(records: DataFrame) -> DataFrame:
     """One record for each name; of repeated names the one of the last file and largest sequence."""
-    top = F.max_by(F.struct(*records.columns), F.struct("source_file", "description", "seq"))
+    top = F.max_by(F.struct(*records.columns), F.struct(*[c for c in ("source_file", "description", "seq") if c in records.columns]))
     return records.groupBy("name").agg(top.alias("r")).select("r.*")
 
 

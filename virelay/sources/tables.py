@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from .files import exists
 
-
-def exists(spark: SparkSession, path: str | None) -> bool:
-    if not path:
-        return False
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p) is not None
+LOG = logging.getLogger("virelay")
 
 
 def read_tsv(spark: SparkSession, path: str | list[str], schema: str, header: bool = True) -> DataFrame:
@@ -58,11 +56,13 @@ def read_raw_hits(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def read_ids(spark: SparkSession, path: str | None, column: str = "id") -> DataFrame:
-    """The distinct ids of a table's column; none if the file is missing or empty."""
+    """The distinct ids of a table's column; none, with a warning, if the file or the column is missing."""
     if not exists(spark, path):
+        LOG.warning("no id table at %s: no id is known", path)
         return spark.createDataFrame([], schemas.ID_SET)
     rows = spark.read.csv(path, header=True, sep="\t" if path.endswith(".tsv") else ",")
     if column not in rows.columns:
+        LOG.warning("%s has no column %s: no id is known", path, column)
         return spark.createDataFrame([], schemas.ID_SET)
     return rows.select(F.col(column).cast("string").alias("id")).filter("id is not null").distinct()
 
@@ -75,6 +75,28 @@ def read_thresholds(spark: SparkSession, path: str | None, db: str, value: str)
     return rows.select(F.lit(db).alias("db"), F.col("id").alias("hmm_id"), F.col(value).try_cast("double").alias("value")).filter("value is not null")
 
 
+def read_cutoffs(spark: SparkSession, path: str | None) -> DataFrame:
+    """Cut-offs of any database: a table with the columns db, hmm_id and value (gathering or trusted scores, or those of KEGG and FOAM)."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], schemas.THRESHOLDS)
+    rows = spark.read.csv(path, header=True, sep="\t" if path.endswith(".tsv") else ",")
+    return rows.select("db", "hmm_id", F.col("value").try_cast("double").alias("value")).filter("value is not null")
+
+
+def read_hit_tables(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Hits of tables with header (the columns of the raw hits); files that can't be read are passed over, lines that don't fit as well, both with a warning."""
+    out = spark.createDataFrame([], schemas.HITS_RAW)
+    for path in paths:
+        if not exists(spark, path):
+            LOG.warning("%s can't be read and is passed over", path)
+            continue
+        good, bad = read_permissive_tsv(spark, path, schemas.HITS_RAW)
+        if n := bad.count():
+            LOG.warning("%d lines of %s don't fit and are passed over", n, path)
+        out = out.unionByName(good)
+    return out
+
+
 def read_keywords(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
     """The hard and soft keywords of a rule table (a few hundred rows, held on the driver)."""
     rows = read_csv(spark, path, schemas.KEYWORDS).filter("substring is not null and type is not null").orderBy("substring").collect()

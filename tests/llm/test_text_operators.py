@@ -238,10 +238,11 @@ def test_html_deep_and_table(spark):
 @given(st.integers(1, 32), st.integers(1, 50), st.lists(st.lists(st.integers(0, 2**32 - 1), max_size=30), max_size=12), st.randoms())
 def test_files_give_back_ids(bits, block, docs, rnd):
     docs = [np.array([x & ((1 << bits) - 1) for x in d], np.uint32) for d in docs]
-    out, buffer = token_pack.TokenFileWriter(bits, block), io.BytesIO()
+    buffer = io.BytesIO()
+    out = token_pack.TokenFileWriter(buffer, bits, block)
     for k, d in enumerate(docs):
         out.add(k if k % 3 else None, d)
-    out.finish(buffer)
+    out.finish()
     buffer.seek(0)
     file = token_pack.TokenFile(buffer)
     for k in rnd.sample(range(len(docs)), len(docs)):

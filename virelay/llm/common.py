@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,21 +12,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A-Z to a-z, and nothing else: the case folding of the line and shingle keys.
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+from ..sources.files import clean, remove, scratch
 
+#: A new folder's path below the folder that driver and executors share, what removes it, and what removes all of the session's.
+shared_dir, drop_stored, drop_all = scratch, remove, clean
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder's path below the folder that driver and executors share.
-
-    The cluster names it in ``spark.checkpoint.dir``; only where that is unset
-    (single-machine tests) a temporary folder takes its place and is set.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="virelay-")
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/virelay/{name}-{uuid.uuid4().hex}"
+#: A-Z to a-z, and nothing else: the case folding of the line and shingle keys.
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 #: Removes a query's shuffle files when it has ended, instead of when the driver collects its garbage.
@@ -71,12 +61,6 @@ def discard(*tables: DataFrame) -> None:
         drop_stored(df.sparkSession, df.stored_at)
 
 
-def drop_stored(spark: SparkSession, path: str) -> None:
-    """Removes a folder that :func:`shared_dir` named, through Spark's file system."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 #: Bytes of an Arrow batch between Spark and its Python workers where rows are long.
 BATCH_BYTES = 8 << 20
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, release_memory, slices, stored
+from .common import column, discard, release_memory, slices, stored
 from .components import components
 from .shingles import mix, packed_set, set_hash, shingle_set, unpacked_set
 
@@ -226,8 +226,8 @@ def first_row():
 
 def _classes(df: DataFrame, id_col: str, text_col: str, width: int, num: int, den: int) -> DataFrame:
     """Per row: id, text_hash, n_shingles and root (a number for each component; null without shingles)."""
-    text = F.col(text_col).cast("string")
-    docs = df.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
+    text = column(text_col).cast("string")
+    docs = df.select(column(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.mapInArrow(_indexed(width, num, den), ROWS)
     dealt = rows.repartition(parts, "sig").sortWithinPartitions("sig", "key").mapInArrow(_shared, ROWS)
@@ -291,9 +291,9 @@ def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     alone = known.filter("root is null").select("id", "text_hash")
     keys = [F.xxhash64("id", "text_hash").alias("_k1"), F.xxhash64(F.lit("row"), "text_hash", "id").alias("_k2")]
     kept = found.unionByName(alone).select(*keys)
-    text = F.col(f"row.{text_col}").cast("string")
-    rows = df.select(F.struct(*[df[c] for c in df.columns]).alias("row"))
-    rows = rows.select("row", F.col(f"row.{id_col}").cast("long").alias("id"), F.xxhash64(text).alias("text_hash")).select("row", *keys)
+    text = F.col("row").getField(text_col).cast("string")
+    rows = df.select(F.struct(*[column(c) for c in df.columns]).alias("row"))
+    rows = rows.select("row", F.col("row").getField(id_col).cast("long").alias("id"), F.xxhash64(text).alias("text_hash")).select("row", *keys)
     return rows.join(kept, ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"]).select("row.*")
 
 

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import column
+
 #: Bytes of an anchor.
 ANCHOR = 32
 #: Bytes whose anchors are picked at once, and of context that make up a run.
@@ -451,8 +453,8 @@ def drop_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         raise ValueError("length must be from 32 to 255")
     spark = df.sparkSession
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rowid = F.col(id_col).cast("long")
+    text = F.coalesce(column(text_col).cast("string"), F.lit(""))
+    rowid = column(id_col).cast("long")
     docs = df.select(rowid.alias("id"), text.cast("binary").alias("text"), F.xxhash64(rowid, text).alias("k1"), F.xxhash64(F.lit("row"), text, rowid).alias("k2"))
 
     found = docs.select("k1", "k2", "text").mapInArrow(_anchor_rows(length), "deal long, told boolean, k1 long, k2 long, packed long")

@@ -2,20 +2,21 @@
 
 A file holds the documents of one range of ids, in ascending id order::
 
-    header   magic "VTOK1\\0\\0\\0", u32 bits per id, u32 ids per block, u64 documents,
-             u64 ids, u64 blocks
+    payload  blocks of ids, each id in the least bits that hold the vocabulary
     index    documents x i64 id, documents x u8 "id is null",
              (documents + 1) x u64 first id position in the file
-    offsets  (blocks + 1) x u64, each block's first byte, from the start of the payload
-    payload  blocks of ids, each id in the least bits that hold the vocabulary
+    offsets  (blocks + 1) x u64, each block's first byte
+    tail     magic "VTOK2\\0\\0\\0", u32 bits per id, u32 ids per block, u64 documents,
+             u64 ids, u64 blocks
 
+What tells where things are comes last, so that a writer needs to hold no payload.
 Ids are packed least significant bit first and each block starts at a byte, so
 any id range is read from the blocks that cover it and unpacked by numpy alone.
 """
 
 from __future__ import annotations
 
-import io
+import contextlib
 import os
 import re
 import struct
@@ -30,11 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunk_cache import ChunkIds, Odd, packed
-from .common import shared_dir, slices
+from .common import column, shared_dir, slices
 
-MAGIC = b"VTOK1\0\0\0"
-HEAD = struct.Struct("<8sIIQQQ")
+MAGIC = b"VTOK2\0\0\0"
+TAIL = struct.Struct("<8sIIQQQ")
 BLOCK = 8192
+#: Ids that are read at once, but for a document that has more.
+READ = 1 << 20
 
 #: A chunk may end before a lone space, and before and after a lone newline: no
 #: pre-token of the byte-level pattern reaches over these places.
@@ -68,18 +71,18 @@ def unpack(data: bytes | memoryview, bits: int, count: int) -> np.ndarray:
 
 
 class TokenFileWriter:
-    """Collects documents of one partition and writes them as one file.
+    """Writes the documents of one partition to an open binary file, as they come.
 
-    Ids are packed block by block as they come; memory holds the packed payload
-    of one partition.
+    Packed blocks go out at once; documents' ids, starts and the blocks' offsets
+    follow them, and the counts that find these at the very end.  Memory holds
+    less than a block of ids, and some 17 bytes for each document.
     """
 
-    def __init__(self, bits: int, block: int = BLOCK):
-        self.bits, self.block = bits, block
-        self.doc_ids: list[int] = []
-        self.nulls: list[bool] = []
-        self.starts, self.offsets = [0], [0]
-        self._payload, self._rest = io.BytesIO(), np.empty(0, np.uint32)
+    def __init__(self, out, bits: int, block: int = BLOCK):
+        self.bits, self.block, self._out = bits, block, out
+        self.doc_ids, self.nulls = array("q"), bytearray()
+        self.starts, self.offsets = array("Q", [0]), array("Q", [0])
+        self._rest = np.empty(0, np.uint32)
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
         self.doc_ids.append(0 if doc_id is None else doc_id)
@@ -92,19 +95,17 @@ class TokenFileWriter:
         self._rest = rest[whole:].astype(np.uint32)
 
     def _put(self, ids: np.ndarray) -> None:
-        self._payload.write(pack(ids, self.bits))
-        self.offsets.append(self._payload.tell())
+        data = pack(ids, self.bits)
+        self._out.write(data)
+        self.offsets.append(self.offsets[-1] + len(data))
 
-    def finish(self, out) -> None:
+    def finish(self) -> None:
         if len(self._rest):
             self._put(self._rest)
             self._rest = np.empty(0, np.uint32)
-        out.write(HEAD.pack(MAGIC, self.bits, self.block, len(self.doc_ids), self.starts[-1], len(self.offsets) - 1))
-        out.write(np.asarray(self.doc_ids, "<i8").tobytes())
-        out.write(np.asarray(self.nulls, np.uint8).tobytes())
-        out.write(np.asarray(self.starts, "<u8").tobytes())
-        out.write(np.asarray(self.offsets, "<u8").tobytes())
-        out.write(self._payload.getbuffer())
+        for values, kind in ((self.doc_ids, "<i8"), (self.nulls, np.uint8), (self.starts, "<u8"), (self.offsets, "<u8")):
+            self._out.write((np.frombuffer(values, np.uint8) if kind is np.uint8 else np.asarray(values).astype(kind)).tobytes())
+        self._out.write(TAIL.pack(MAGIC, self.bits, self.block, len(self.doc_ids), self.starts[-1], len(self.offsets) - 1))
 
 
 class TokenFile:
@@ -112,14 +113,21 @@ class TokenFile:
 
     def __init__(self, file):
         self._file = file
-        magic, self.bits, self.block, docs, self.n_ids, blocks = HEAD.unpack(file.read(HEAD.size))
+        end = file.seek(0, 2)
+        if end is None:
+            end = file.tell()
+        if end < TAIL.size:
+            raise ValueError("not a packed token file")
+        file.seek(end - TAIL.size)
+        magic, self.bits, self.block, docs, self.n_ids, blocks = TAIL.unpack(file.read(TAIL.size))
         if magic != MAGIC:
             raise ValueError("not a packed token file")
+        file.seek(end - TAIL.size - (8 * docs + docs + 8 * (docs + 1) + 8 * (blocks + 1)))
         self.doc_ids = np.frombuffer(file.read(8 * docs), "<i8")
         self.nulls = np.frombuffer(file.read(docs), np.uint8).astype(bool)
         self.starts = np.frombuffer(file.read(8 * (docs + 1)), "<u8").astype(np.int64)
         self.offsets = np.frombuffer(file.read(8 * (blocks + 1)), "<u8").astype(np.int64)
-        self._base = HEAD.size + 8 * docs + docs + 8 * (docs + 1) + 8 * (blocks + 1)
+        self._base = 0
 
     def __len__(self) -> int:
         return len(self.doc_ids)
@@ -222,7 +230,7 @@ def encoder(path: str) -> ByteBpe:
     return _encoders[path]
 
 
-MANIFEST = "path string, first_doc long, n_docs long, n_ids long"
+MANIFEST = "path string, first_doc long, first_hash long, n_docs long, n_ids long"
 
 
 def write_token_files(df: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
@@ -237,7 +245,7 @@ def write_token_files(df: DataFrame, tokenizer: str, end_id: int, id_col: str =
     names counts, so lost executors and second attempts leave nothing wrong.
 
     Null text is an empty document (the end id alone); null ids sort first and
-    are kept; repeated ids stay separate documents, ordered by their text.  An
+    are kept; repeated ids stay separate documents, ordered by a hash of their text.  An
     empty table gives no file.  Other columns are not read.
     """
     spark = df.sparkSession
@@ -246,22 +254,26 @@ def write_token_files(df: DataFrame, tokenizer: str, end_id: int, id_col: str =
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(tokenizer)
-        out, end = TokenFileWriter(bits_for(max(bpe.tokenizer.get_vocab_size(), end_id + 1))), np.array([end_id], np.uint32)
-        for batch in slices(batches, "text"):
-            ids = bpe.encode([t or "" for t in batch.column("text").to_pylist()])
-            for doc, x in zip(batch.column("id").to_pylist(), ids, strict=True):
-                out.add(doc, np.concatenate([x, end]))
-        if len(out.doc_ids):
-            path = f"{folder}/{uuid.uuid4().hex}.vtok"
-            with open_output(path) as f:
-                out.finish(f)
-            first = None if out.nulls[0] else out.doc_ids[0]
-            yield pa.RecordBatch.from_pydict({"path": [path], "first_doc": pa.array([first], pa.int64()), "n_docs": [len(out.doc_ids)], "n_ids": [int(out.starts[-1])]})
-
-    docs = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    dealt = docs.repartitionByRange(files, F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
+        out, end = None, np.array([end_id], np.uint32)
+        with contextlib.ExitStack() as stack:
+            for batch in slices(batches, "text"):
+                ids = bpe.encode([t or "" for t in batch.column("text").to_pylist()])
+                for doc, x, h in zip(batch.column("id").to_pylist(), ids, batch.column("h").to_pylist(), strict=True):
+                    if out is None:
+                        path, first = f"{folder}/{uuid.uuid4().hex}.vtok", (doc, h)
+                        out = TokenFileWriter(stack.enter_context(open_output(path)), bits_for(max(bpe.tokenizer.get_vocab_size(), end_id + 1)))
+                    out.add(doc, np.concatenate([x, end]))
+            if out is not None:
+                out.finish()
+        if out is not None:  # the file is closed, so it is whole
+            yield pa.RecordBatch.from_pydict({"path": [path], "first_doc": pa.array(first[:1], pa.int64()), "first_hash": pa.array(first[1:], pa.int64()), "n_docs": [len(out.doc_ids)], "n_ids": [int(out.starts[-1])]})
+
+    text = F.coalesce(column(text_col).cast("string"), F.lit(""))
+    docs = df.select(column(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("h"))
+    order = [F.col("id").asc_nulls_first(), F.col("h").asc()]  # the hash parts the rows of an id that very many have
+    dealt = docs.repartitionByRange(files, *order).sortWithinPartitions(*order, "text")
     rows = dealt.mapInArrow(write, MANIFEST).collect()
-    rows.sort(key=lambda r: (r.first_doc is not None, r.first_doc or 0))
+    rows.sort(key=lambda r: (r.first_doc is not None, r.first_doc or 0, r.first_hash))
     return folder, rows
 
 
@@ -291,8 +303,9 @@ def _read(spark, manifest: list, schema: str, value, name: str) -> DataFrame:
             for path, base in zip(batch.column("path").to_pylist(), batch.column("base").to_pylist(), strict=True):
                 with open_input(path) as f:
                     file = TokenFile(f)
-                    for a in range(0, len(file), 512):
-                        b = min(len(file), a + 512)
+                    a = 0
+                    while a < len(file):  # documents of so many ids at once, or one
+                        b = max(a + 1, int(np.searchsorted(file.starts, file.starts[a] + READ, side="right")) - 1)
                         edges = file.starts[a : b + 1]
                         block = file.ids(int(edges[0]), int(edges[-1]))
                         ids = [block[x - edges[0] : y - edges[0]] for x, y in zip(edges, edges[1:], strict=False)]
@@ -300,5 +313,6 @@ def _read(spark, manifest: list, schema: str, value, name: str) -> DataFrame:
                         if "n_tokens" in schema:
                             out["n_tokens"] = pa.array(np.diff(edges), pa.int64())
                         yield pa.RecordBatch.from_pydict(out | {name: value(ids)})
+                        a = b
 
     return table.mapInArrow(read, schema)

@@ -417,8 +417,11 @@ def brute_repeats(texts, n):
     return out
 
 
-@pytest.mark.parametrize("length,buffer", [(40, 500), (40, 1 << 18), (200, 3000), (33, 700)])
-def test_repeats_equal_brute_force(spark, monkeypatch, length, buffer):
+@pytest.mark.parametrize("length,buffer,local,most", [(40, 500, 64, 4096), (40, 1 << 18, 1, 4096), (200, 3000, 1, 2), (33, 700, 64, 1), (90, 900, 0, 0)])
+def test_repeats_equal_brute_force(spark, monkeypatch, length, buffer, local, most):
+    """With usual bounds, and with anchors that are hot in some runs, in receivers, or everywhere."""
+    monkeypatch.setattr(suffix_dedup, "LOCAL", local)
+    monkeypatch.setattr(suffix_dedup, "HOT", most)
     monkeypatch.setattr(suffix_dedup, "BUFFER", buffer)
     monkeypatch.setattr(suffix_dedup, "RUN", 20_000)
     r = random.Random(length + buffer)
@@ -465,6 +468,19 @@ def test_merge_of_front_coded_runs():
         assert out == sorted(s for x in runs for s in x[0]) and prefixes == suffix_dedup.adjacent(out)
 
 
+def test_a_common_passage_with_other_surroundings(spark, monkeypatch):
+    """A passage shorter than the strings, in all documents, is hot; only what recurs with its surroundings goes."""
+    monkeypatch.setattr(suffix_dedup, "LOCAL", 8)
+    r = random.Random(3)
+    some = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    passage, longer = some(150), some(230)
+    texts = [some(120) + passage + some(120) for _ in range(60)] + [some(90) + longer + some(90) for _ in range(40)]
+    texts += [texts[0][:300] + some(40), some(30) + texts[1][100:330]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {x.id: (x.n_bytes, x.n_removed, x.n_spans, bytes(x.kept)) for x in suffix_dedup.drop_repeats(df).collect()}
+    assert [got[k] for k in range(len(texts))] == brute_repeats([t.encode() for t in texts], 200) and got[70][1] >= 230
+
+
 # the pipeline
 
 

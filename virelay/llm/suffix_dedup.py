@@ -9,12 +9,19 @@ exchanged as sorted runs; each receiver merges its runs in a loser tree that
 keeps every head's common prefix with the last suffix given out and compares
 only beyond it.  The merged order and its common prefixes, with those of the
 bytes before the anchors, tell for every string at once whether it recurs.
+
+Suffixes are dealt to receivers by a hash of their anchor: each receiver's order is
+whole, but there is no one order of all.  An anchor that very many different texts
+stand around is hot: no receiver gets all its suffixes.  Their strings are told by
+counting hashes instead, first of the parts that a band of strings has in common,
+then, where those recur, of the strings themselves.
 """
 
 from __future__ import annotations
 
 import hashlib
 import struct
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,10 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column
+from .common import column, stored
 
 #: Bytes of an anchor.
 ANCHOR = 32
+#: Contexts of an anchor in one run, and in one receiver, beyond which it is hot; strings of a band.
+LOCAL, HOT, BAND = 64, 4096, 24
 #: Bytes whose anchors are picked at once, and of context that make up a run.
 BUFFER, RUN = 1 << 18, 24 << 20
 
@@ -262,7 +271,9 @@ def recurring(prefixes: np.ndarray, lefts: list[bytes], low: np.ndarray, high: n
 
 
 SHARED = "k1 long, k2 long, packed long"
-RUNS = "part int, run binary, k1 long, k2 long, first long, last long"
+RUNS = "part int, run binary, mark boolean, hot binary, k1 long, k2 long, first long, last long"
+TOLD = "hot binary, k1 long, k2 long, first long, last long"
+BANDS = "b1 long, b2 long, k1 long, k2 long, start long, strings binary"
 
 
 def _anchor_rows(length: int):
@@ -333,21 +344,23 @@ def _sorted_runs(length: int, parts: int):
 
         def given() -> Iterator[pa.RecordBatch]:
             # Equal contexts met in this task recur: all but one are told at once, and one is sent for the others.
+            times = Counter(right[:ANCHOR] for right, _, _, _ in items)
+            hot = {x for x, n in times.items() if n > LOCAL}
+            place_of = lambda x: int.from_bytes(hashlib.blake2b(x, digest_size=6).digest(), "little") % parts
             by_part: dict[int, list[tuple]] = {}
-            told: list[tuple] = []
+            rows: list[tuple] = [(place_of(x), x, True, None, None, None, None, None) for x in hot]
             for (right, left, low, high), owners in items.items():
-                part = int.from_bytes(hashlib.blake2b(right[:ANCHOR], digest_size=6).digest(), "little") % parts
-                if len(owners) > 1:
-                    told += [(k1 % parts, k1, k2, p - high, p - low) for k1, k2, p in owners]  # these only pass through: dealt evenly
-                by_part.setdefault(part, []).append((right, left, low, high, len(owners) > 1, *owners[0]))
-            rows = [(part, coded_run(sorted(x))) for part, x in by_part.items()]
-            n, m = len(rows), len(told)
-            none = [None] * n
-            yield pa.RecordBatch.from_pydict({
-                "part": pa.array([r[0] for r in rows] + [t[0] for t in told], pa.int32()),
-                "run": pa.array([r[1] for r in rows] + [None] * m, pa.binary()),
-                **{c: pa.array(none + [t[k + 1] for t in told], pa.int64()) for k, c in enumerate(("k1", "k2", "first", "last"))},
-            })
+                if len(owners) > 1:  # these only pass through: dealt evenly
+                    rows += [(k1 % parts, None, False, None, k1, k2, p - high, p - low) for k1, k2, p in owners]
+                item = right, left, low, high, len(owners) > 1, *owners[0]
+                if right[:ANCHOR] in hot:
+                    rows.append((owners[0][0] % parts, None, False, coded_run([item]), None, None, None, None))
+                else:
+                    by_part.setdefault(place_of(right[:ANCHOR]), []).append(item)
+            rows += [(part, coded_run(sorted(x)), False, None, None, None, None, None) for part, x in by_part.items()]
+            kinds = (pa.int32(), pa.binary(), pa.bool_(), pa.binary(), *[pa.int64()] * 4)
+            for k in range(0, len(rows), 4096):
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows[k : k + 4096], strict=True), kinds, strict=True)], [x.split()[0] for x in RUNS.split(", ")])
 
         for batch in _cut(batches):
             for k1, k2, text, places in zip(*(batch.column(c).to_pylist() for c in ("k1", "k2", "text", "places")), strict=True):
@@ -368,14 +381,40 @@ def _sorted_runs(length: int, parts: int):
     return run
 
 
+def without(run: tuple[list[bytes], list[int], list[tuple]], hot: set[bytes]) -> tuple[tuple, list[tuple]]:
+    """A decoded run without the suffixes at hot anchors, and those as items."""
+    strings, prefixes, rest, gone, least = [], [], [], [], ANCHOR * 8
+    for x, c, r in zip(*run, strict=True):
+        least = min(least, c)
+        if x[:ANCHOR] in hot:
+            gone.append((x, *r))
+        else:
+            strings.append(x)
+            prefixes.append(least if strings[1:] else 0)
+            rest.append(r)
+            least = ANCHOR * 8
+    return (strings, prefixes, rest), gone
+
+
 def _merged(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, runs = None, []
+        part, held, hot, times = None, [], set(), Counter()
+
+        def rows_of(gone: list[tuple]) -> Iterator[pa.RecordBatch]:
+            if gone:
+                none = pa.nulls(len(gone), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array([coded_run([x]) for x in gone], pa.binary()), none, none, none, none], [x.split()[0] for x in TOLD.split(", ")])
 
         def given() -> Iterator[pa.RecordBatch]:
-            decoded = [decoded_run(r) for r in runs]
+            decoded = []
+            for r in held:
+                kept, gone = without(r, hot)
+                yield from rows_of(gone)
+                decoded.append(kept)
             order, prefixes = merge([(d[0], d[1]) for d in decoded])
             rest = [decoded[r][2][i] for r, i in order]
+            if not rest:
+                return
             low, high, told = (np.array([x[k] for x in rest], np.int64) for k in (1, 2, 3))
             found = recurring(np.array(prefixes, np.int64), [x[0] for x in rest], low, high, length)
             found[told == 1] = False  # these have been told where they were sorted
@@ -384,25 +423,79 @@ def _merged(length: int):
             _, stop = np.nonzero(edge == -1)
             if len(who):
                 k1, k2, place = (np.array([x[k] for x in rest], np.int64)[who] for k in (4, 5, 6))
-                yield pa.RecordBatch.from_pydict({"k1": k1, "k2": k2, "first": place - stop + 1, "last": place - start})
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(who), pa.binary()), *map(pa.array, (k1, k2, place - stop + 1, place - start))], [x.split()[0] for x in TOLD.split(", ")])
 
         for batch in batches:
-            told = batch.filter(batch.column("run").is_null())
-            if told.num_rows:
-                yield told.select(["k1", "k2", "first", "last"])
+            through = batch.filter(batch.column("run").is_null())
+            if through.num_rows:
+                yield through.select(["hot", "k1", "k2", "first", "last"])
             own = batch.filter(batch.column("run").is_valid())
-            for p, r in zip(own.column("part").to_pylist(), own.column("run").to_pylist(), strict=True):
+            for p, r, mark in zip(own.column("part").to_pylist(), own.column("run").to_pylist(), own.column("mark").to_pylist(), strict=True):
                 if p != part:
-                    if runs:
+                    if held:
                         yield from given()
-                    part, runs = p, []
-                runs.append(r)
-        if runs:
+                    part, held, hot, times = p, [], set(), Counter()
+                if mark:  # come first
+                    hot.add(r)
+                    continue
+                kept, gone = without(decoded_run(r), hot)
+                yield from rows_of(gone)
+                times.update(x[:ANCHOR] for x in kept[0])
+                hot |= {x[:ANCHOR] for x in kept[0] if times[x[:ANCHOR]] > HOT}
+                held.append(kept)
+        if held:
             yield from given()
 
     return run
 
 
+def _bands(length: int):
+    """For each suffix at a hot anchor its strings in bands of ``BAND``: the hash of what a band's strings have in common, and theirs."""
+
+    def digest(data: bytes) -> bytes:
+        return hashlib.blake2b(data, digest_size=16).digest()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for item in batch.column("hot").to_pylist():
+                (right,), _, ((left, low, high, _, k1, k2, place),) = decoded_run(item)
+                for d in range(low // BAND * BAND, high + 1, BAND):
+                    first, last = max(d, low), min(d + BAND - 1, high)
+                    # Whatever string of the band two contexts share, they share the d bytes before the anchor and those up to the band's least end.
+                    name = digest(bytes([d // BAND]) + left[high - d :] + right[: max(ANCHOR, length - d - BAND + 1)])
+                    strings = b"".join(digest(left[high - e :] + right[: length - e]) for e in range(first, last + 1))
+                    rows.append((*struct.unpack("<qq", name), k1, k2, place - first, strings))
+            if rows:
+                kinds = (*[pa.int64()] * 5, pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], [x.split()[0] for x in BANDS.split(", ")])
+
+    return run
+
+
+def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each string of some bands: its hash, its document and start."""
+    for batch in batches:
+        data = batch.column("strings").to_pylist()
+        n = np.array([len(x) // 16 for x in data], np.int64)
+        hashed = np.frombuffer(b"".join(data), "<i8").reshape(-1, 2)
+        nth = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        k1, k2, start = (np.repeat(batch.column(c).to_numpy(), n) for c in ("k1", "k2", "start"))
+        yield pa.RecordBatch.from_arrays([*map(pa.array, (np.ascontiguousarray(hashed[:, 0]), np.ascontiguousarray(hashed[:, 1]), k1, k2, start - nth))], ["b1", "b2", "k1", "k2", "start"])
+
+
+def _hot_ranges(hot: DataFrame, length: int) -> DataFrame:
+    """k1, k2, first, last of the strings at hot anchors that recur, by 128 bits of hash; no task gathers a group."""
+
+    def recurs(rows: DataFrame) -> DataFrame:
+        several = stored(rows.groupBy("b1", "b2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("b1", "b2"), "recurring")
+        return rows.join(several, ["b1", "b2"], "left_semi")
+
+    bands = stored(hot.mapInArrow(_bands(length), BANDS), "bands")
+    strings = stored(recurs(bands).select("k1", "k2", "start", "strings").mapInArrow(_strings, "b1 long, b2 long, k1 long, k2 long, start long"), "strings")
+    return recurs(strings).select("k1", "k2", F.col("start").alias("first"), F.col("start").alias("last"))
+
+
 def removed_spans(n: int, firsts: list[int], lasts: list[int], length: int) -> np.ndarray:
     """Maximal removed byte runs (start, end), from ranges of recurring string starts."""
     if not firsts:
@@ -446,8 +539,10 @@ def drop_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ids recur in one another and lose all bytes that strings cover.  Kept bytes
     may cut a character.  Other columns are not read; an empty table gives no row.
 
-    One lazy plan: the texts are exchanged once, used for the contexts of
-    repeated anchors and again for the cuts.
+    The texts are exchanged for the contexts of repeated anchors and again for
+    the cuts.  No receiver gets more than ``HOT`` contexts of one anchor from
+    tasks that see ``LOCAL`` of them at most; hot anchors' strings are compared by
+    128 bits of hash, all others byte by byte.
     """
     if not ANCHOR <= length <= 255:
         raise ValueError("length must be from 32 to 255")
@@ -461,7 +556,9 @@ def drop_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shared = found.repartition(parts // 4, "deal").sortWithinPartitions("deal").mapInArrow(_repeated, SHARED)
     places = shared.groupBy("k1", "k2").agg(F.collect_list("packed").alias("places"))
     runs = docs.join(places, ["k1", "k2"]).select("id", "k1", "k2", "text", "places").mapInArrow(_sorted_runs(length, parts), RUNS)
-    told = runs.repartition(parts // 4, "part").sortWithinPartitions("part").mapInArrow(_merged(length), "k1 long, k2 long, first long, last long")
+    dealt = runs.repartition(parts // 4, "part").sortWithinPartitions("part", F.col("mark").desc())
+    found = stored(dealt.mapInArrow(_merged(length), TOLD), "recurring-strings")
+    told = found.filter("hot is null").select("k1", "k2", "first", "last").unionByName(_hot_ranges(found.filter("hot is not null").select("hot"), length))
     ranges = told.groupBy("k1", "k2").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
     both = docs.join(ranges, ["k1", "k2"], "left").select("id", "k1", "k2", "text", "ranges")
     return both.mapInArrow(_kept(length, digest), f"id long, n_bytes long, n_removed long, n_spans long, kept {'string' if digest else 'binary'}")

@@ -47,11 +47,11 @@ def test_scans_read_only_what_is_needed(spark, data):
 
 
 def test_fasta_records_of_all_documents(spark, duck, data):
-    got = {r.doc_id for r in plans.QUERIES["fasta_records_all"](spark, data).collect()}
+    got = {r.doc_id for r in plans.QUERIES["fasta_records"](spark, data).collect()}
     assert got == {k for (k,) in duck.execute("select doc_id from documents").fetchall()} and max(got) >= 100
 
 
 def test_rank_sort_of_all_orders(spark, duck, data):
-    got = plans.QUERIES["rank_sort_all"](spark, data).collect()
+    got = plans.QUERIES["rank_sort"](spark, data).collect()
     (n,) = duck.execute("select count(*) from orders").fetchone()
     assert n > 1000 and [r.place for r in got] == list(range(1, n + 1))

@@ -43,13 +43,17 @@ class GeneFrames:
         """Genes that start within ``within`` (inclusive) after its end, as rows of the gene before each."""
         return Window.partitionBy(*self.contig).orderBy("_e").rangeBetween(0, within)
 
-    def mean(self, column: str, window: int, min_valid_pct: float) -> Column:
-        """Unweighted mean of non-null values in the window; null if their genes are less than the share of all length."""
+    def length_near(self, window: int) -> Column:
+        """Length of all genes in the window: the same for every column, so computed once."""
+        here, ahead = self.left(window), self.right(window - 1)
+        return F.sum(self._length).over(here) + F.coalesce(F.sum(f"_next_{self._length}").over(ahead), F.lit(0))
+
+    def mean(self, column: str, window: int, min_valid_pct: float, length: Column) -> Column:
+        """Unweighted mean of non-null values in the window; null if their genes are less than the share of its ``length``."""
         here, ahead = self.left(window), self.right(window - 1)
         after, next_len = F.col(f"_next_{column}"), F.col(f"_next_{self._length}")
         total = F.coalesce(F.sum(column).over(here), F.lit(0.0)) + F.coalesce(F.sum(after).over(ahead), F.lit(0.0))
         count = F.count(column).over(here) + F.count(after).over(ahead)
-        length = F.sum(self._length).over(here) + F.coalesce(F.sum(next_len).over(ahead), F.lit(0))
         valid = F.coalesce(F.sum(F.when(F.col(column).isNotNull(), F.col(self._length))).over(here), F.lit(0)) + F.coalesce(F.sum(F.when(after.isNotNull(), next_len)).over(ahead), F.lit(0))
         return F.when((count > 0) & (valid * 100.0 / length >= min_valid_pct), total / count)
 
@@ -76,8 +80,9 @@ def contig_means(genes: DataFrame, columns: list[str], contig: tuple[str, ...] =
 def window_means(genes: DataFrame, columns: list[str], window: int, min_valid_pct: float, contig: tuple[str, ...] = CONTIG, number: str = "gene_number", length: str = "gene_length_bases") -> DataFrame:
     """Adds ``window_avg_<column>``."""
     frames = GeneFrames(genes, columns, contig, number, length)
-    means = {f"window_avg_{c}": frames.mean(c, window, min_valid_pct) for c in columns}
-    return frames.positioned.withColumns(means).select(*frames.columns, *means)
+    rows = frames.positioned.withColumn("_near", frames.length_near(window))
+    means = {f"window_avg_{c}": frames.mean(c, window, min_valid_pct, F.col("_near")) for c in columns}
+    return rows.withColumns(means).select(*frames.columns, *means)
 
 
 def score_flanks(genes: DataFrame, columns: list[str], within: int, least: float, contig: tuple[str, ...] = CONTIG, number: str = "gene_number", length: str = "gene_length_bases") -> DataFrame:

@@ -291,14 +291,6 @@ def classify_priority(spark, sf_dir):
     return curate.classified(docs.select("doc_id"), members, "doc_id").select("doc_id", "classification")
 
 
-@query("""SELECT o_orderkey, o_orderstatus, o_orderpriority, row_number() OVER (ORDER BY CASE o_orderstatus WHEN 'O' THEN 0 WHEN 'F' THEN 1 ELSE 2 END, CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 ELSE 2 END, o_orderkey) AS place FROM orders ORDER BY place LIMIT 1000""")
-def rank_sort(spark, sf_dir):
-    """The first thousand rows by two ranked columns and a key, with their places."""
-    ranked = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", curate.rank_of("o_orderstatus", ("O", "F")).alias("a"), curate.rank_of("o_orderpriority", ("1-URGENT", "2-HIGH")).alias("b"))
-    top = ranked.orderBy("a", "b", "o_orderkey").limit(1000)
-    return top.select("o_orderkey", "o_orderstatus", "o_orderpriority", F.row_number().over(Window.orderBy("a", "b", "o_orderkey")).cast("long").alias("place"))
-
-
 @query("""SELECT p_partkey, round((length(p_name) - 2) * 1.0 / len(list_distinct([substr(p_name, i, 3) FOR i IN range(1, length(p_name) - 1)])), 6) AS multiplicity FROM part WHERE length(p_name) >= 3
 UNION ALL SELECT p_partkey, NULL FROM part WHERE length(p_name) < 3""")
 def kmer_multiplicity(spark, sf_dir):
@@ -429,20 +421,9 @@ def any_flags(spark, sf_dir):
     return genes.select("contig", "n", curate.any_flag(*[f"{c}_flag" for c in SCORES]).alias("flag"))
 
 
-@query("""SELECT doc_id, regexp_replace(text, '\\s', '', 'g') AS seq, 'lang ' || lang AS description FROM documents WHERE doc_id < 100""")
-def fasta_records(spark, sf_dir):
-    """Texts written as FASTA and parsed again: names, descriptions, joined sequence lines."""
-    from ..sources.fasta import parsed_records
-    from ..sources.sinks import fasta_record
-
-    docs = table(spark, sf_dir, "documents").filter("doc_id < 100")
-    written = docs.select(fasta_record(F.col("doc_id").cast("string"), F.concat(F.lit("lang "), "lang"), F.col("text")).alias("record"))
-    return parsed_records(written, F.lit("f.fa"), False).select(F.col("name").cast("long").alias("doc_id"), "seq", "description")
-
-
 @query("""SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\s\\x0B]', '', 'g') AS seq, coalesce('lang ' || lang, '') AS description FROM documents""")
-def fasta_records_all(spark, sf_dir):
-    """The texts of all documents written as FASTA and parsed again; ``fasta_records`` has the first hundred ids."""
+def fasta_records(spark, sf_dir):
+    """The texts of all documents written as FASTA and parsed again: names, descriptions, joined sequence lines."""
     from ..sources.fasta import parsed_records
     from ..sources.sinks import fasta_record
 
@@ -452,7 +433,7 @@ def fasta_records_all(spark, sf_dir):
 
 
 @query("""SELECT o_orderkey, o_orderstatus, o_orderpriority, row_number() OVER (ORDER BY CASE o_orderstatus WHEN 'O' THEN 0 WHEN 'F' THEN 1 ELSE 2 END, CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 ELSE 2 END, o_orderkey) AS place FROM orders""")
-def rank_sort_all(spark, sf_dir):
-    """All rows by two ranked columns and a key, with their places; ``rank_sort`` has the first thousand."""
+def rank_sort(spark, sf_dir):
+    """All rows by two ranked columns and a key, with their places."""
     ranked = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority", curate.rank_of("o_orderstatus", ("O", "F")).alias("a"), curate.rank_of("o_orderpriority", ("1-URGENT", "2-HIGH")).alias("b"))
     return curate.with_places(ranked, ["a", "b"], "o_orderkey").drop("a", "b")

@@ -64,6 +64,7 @@ def test_command(spark, tmp_path):
     results = tmp_path / "out/results"
     assert (results / "metabolic_genes_curated.tsv").read_text().count("\n") == 2 and (results / "faa_metabolic/AMGs_all.faa").read_text().startswith(">c_1")
     assert "hits:" in (tmp_path / "out/config_annotate.yaml").read_text()
+    assert "genes: 6 rows" in (tmp_path / "out/annotate.log").read_text() and "command: " in (tmp_path / "out/annotate.log").read_text()
 
 
 def test_command_with_cutoffs_scorer_plugins_and_kept_stages(spark, tmp_path):

@@ -76,3 +76,23 @@ def test_plugins(spark):
     assert fasta.gene_index(proteins).first().contig_pos_end == 9
     found = plugins.searched(proteins, lambda rows: [("KEGG", n, "K1", 1e-9, 60.0, len(s), 1, len(s)) for n, s in rows])
     assert found.first().sequence == "c_1"
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    from virelay.sources import files
+
+    def session(master, setting):
+        context = SimpleNamespace(master=master, applicationId="app", getCheckpointDir=lambda: None, setCheckpointDir=lambda x: None)
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda name, other: setting), sparkContext=context)
+
+    for master in ("yarn", "spark://h:7077", "local-cluster[2,1,512]"):
+        with pytest.raises(ValueError, match="checkpoint.dir"):
+            files.scratch(session(master, None), "x")
+        assert files.scratch(session(master, "hdfs://n/c/"), "x").startswith("hdfs://n/c/virelay/app/x-")
+    assert files.scratch(session("local[4]", None), "x").startswith("file:///")
+    path = files.scratch(spark, "gone")
+    spark.range(3).write.parquet(path)
+    files.remove(spark, path)
+    assert not files.exists(spark, path)

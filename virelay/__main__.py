@@ -72,6 +72,18 @@ def settings(args: argparse.Namespace) -> EngineConfig:
     )
 
 
+class Lines(logging.Handler):
+    """Keeps the run's log lines, which go to the output at its end."""
+
+    def __init__(self):
+        super().__init__()
+        self.lines: list[str] = []
+        self.setFormatter(logging.Formatter("%(asctime)s %(levelname)s %(message)s"))
+
+    def emit(self, record: logging.LogRecord) -> None:
+        self.lines.append(self.format(record))
+
+
 def named(function: str):
     """What ``module:function`` names."""
     module, _, name = function.partition(":")
@@ -83,6 +95,9 @@ def main(argv: list[str] | None = None) -> int:
     args = top.parse_args(argv)
     checked(args, top.error)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
+    LOG.setLevel(logging.INFO)
+    kept_lines = Lines()
+    LOG.addHandler(kept_lines)
     LOG.info("command: %s", " ".join(sys.argv if argv is None else argv))
 
     from pyspark.sql import SparkSession
@@ -120,14 +135,18 @@ def main(argv: list[str] | None = None) -> int:
     engine = Engine(spark, settings(args), scorer, f"{args.output}/wdir/kept", args.again)
     run = engine.annotate(inputs)
     engine.write(run, args.output)
+    for name, table in (("genes", run.index), ("best hits", run.best_hits), ("genes with context", run.context), ("annotations", run.annotations), *run.curated.items()):
+        LOG.info("%s: %d rows", name, table.count())
     for row in run.final.groupBy("classification", "viral_origin_confidence").count().orderBy("classification", "viral_origin_confidence").collect():
         LOG.info("%s, %s: %d proteins", *row)
     for row in run.missing.groupBy("category").count().collect():
         LOG.warning("%d proteins of class %s have no sequence", row["count"], row.category)
     run.close()
+    LOG.removeHandler(kept_lines)
     settings_file = "".join(f"{k}: {json.dumps(v)}\n" for k, v in sorted(vars(args).items()))
-    spark.createDataFrame([(settings_file,)], "value string").coalesce(1).write.mode("overwrite").text(f"{args.output}/.config")
-    concatenated(spark, f"{args.output}/.config", f"{args.output}/config_annotate.yaml")
+    for name, text in (("config_annotate.yaml", settings_file), ("annotate.log", "\n".join(kept_lines.lines))):
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{args.output}/.parts")
+        concatenated(spark, f"{args.output}/.parts", f"{args.output}/{name}")
     return 0
 
 

@@ -558,7 +558,9 @@ def drop_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     runs = docs.join(places, ["k1", "k2"]).select("id", "k1", "k2", "text", "places").mapInArrow(_sorted_runs(length, parts), RUNS)
     dealt = runs.repartition(parts // 4, "part").sortWithinPartitions("part", F.col("mark").desc())
     found = stored(dealt.mapInArrow(_merged(length), TOLD), "recurring-strings")
-    told = found.filter("hot is null").select("k1", "k2", "first", "last").unionByName(_hot_ranges(found.filter("hot is not null").select("hot"), length))
+    told, hot = found.filter("hot is null").select("k1", "k2", "first", "last"), found.filter("hot is not null").select("hot")
+    if not hot.isEmpty():
+        told = told.unionByName(_hot_ranges(hot, length))
     ranges = told.groupBy("k1", "k2").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
     both = docs.join(ranges, ["k1", "k2"], "left").select("id", "k1", "k2", "text", "ranges")
     return both.mapInArrow(_kept(length, digest), f"id long, n_bytes long, n_removed long, n_spans long, kept {'string' if digest else 'binary'}")

@@ -9,10 +9,9 @@ bands whose pairs differ in one token at most index the whole set's one-deletion
 neighbourhood instead.  A cost model picks the scheme and slack of each band.
 
 Equal sets are one class from the start.  The runs of sets with one signature are
-gathered under the set that shares most signatures, and each set of such a group is
-compared exactly with that one: near copies are linked at once.  The others meet the
-sets with which they share a run, as products of blocks of bounded size; what goes on
-from there is a spanning forest of the links, never all pairs.
+gathered under the set that shares most signatures, and the sets of each group
+are compared exactly, all with all, as products of blocks of bounded size; what
+goes on from there is a spanning forest of the links, never all pairs.
 """
 
 from __future__ import annotations
@@ -241,34 +240,22 @@ def _classes(df: DataFrame, id_col: str, text_col: str, width: int, num: int, de
     lead = runs.join(shared, "key").groupBy("sig").agg(F.max_by("key", F.struct("shared", "key")).alias("lead"))
     groups = stored(runs.join(lead, "sig").groupBy("lead", "key").agg(F.first("size").alias("size")), "jaccard-groups")
     sets = _tokens(docs, members, groups.select("key").distinct(), width)
-    # Every set of a group is first compared with the group's own: near copies are linked with that.
-    star = _star(groups, sets, num, den)
-    # What is left are the sets that aren't linked with it: they meet the others with which they share a run.
-    mine = star.filter("linked").select("lead", "key", F.lit(True).alias("near"))
-    open_runs = runs.join(lead, "sig").join(mine, ["lead", "key"], "left").withColumn("rest", F.col("near").isNull() & (F.col("key") != F.col("lead")))
-    rest = open_runs.filter("rest").select("sig").distinct()
-    met = open_runs.join(rest, "sig", "left_semi").filter("key <> lead").groupBy("lead", "key").agg(F.first("size").alias("size"), F.first("rest").alias("rest"))
-    met = stored(met, "jaccard-met")
-    # Blocks of up to BLOCK_SETS sets and BLOCK_TOKENS tokens: those of the rest against all blocks.
-    n = lambda flag: F.ceil(F.greatest(F.count(F.when(flag, 1)) / BLOCK_SETS, F.coalesce(F.sum(F.when(flag, F.col("size"))), F.lit(0)) / BLOCK_TOKENS)).cast("int")
-    sizes = stored(met.groupBy("lead").agg(n(F.col("rest")).alias("nr"), n(~F.col("rest")).alias("nl")), "jaccard-blocks")
-    block = F.pmod(F.xxhash64("key"), F.when(F.col("rest"), F.col("nr")).otherwise(F.col("nl"))).cast("int")
-    dealt = met.join(sizes, "lead").withColumn("block", block)
-    upto = lambda c: F.when(F.col(c) > 0, F.sequence(F.lit(0), F.col(c) - 1)).otherwise(F.array().cast("array<int>"))
-    among = F.transform(upto("nr"), lambda j: F.xxhash64("lead", F.lit("among"), F.least("block", j), F.greatest("block", j)))
-    across = F.transform(upto("nl"), lambda j: F.xxhash64("lead", F.lit("across"), "block", j))
-    other = F.transform(upto("nr"), lambda j: F.xxhash64("lead", F.lit("across"), j, F.col("block")))
-    dealt = dealt.select(F.explode(F.when(F.col("rest"), F.concat(among, across)).otherwise(other)).alias("cell"), "key", "size")
+    # A group of up to BLOCK_SETS sets and BLOCK_TOKENS tokens is compared whole; larger ones in pairs of blocks.
     # First by bitmaps, which tell most sets apart for certain, then those left by their tokens.
+    sizes = groups.groupBy("lead").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("tokens")).filter("n > 1")
+    # Written, so that the join with the sets of a large group can be split.
+    sizes = stored(sizes.select("lead", F.ceil(F.greatest(F.col("n") / BLOCK_SETS, F.col("tokens") / BLOCK_TOKENS)).cast("int").alias("blocks")), "jaccard-blocks")
+    dealt = groups.join(sizes, "lead").withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select(F.xxhash64("lead", F.least("block", "with"), F.greatest("block", "with")).alias("cell"), "key", "size")
     dealt = dealt.join(sets.select("key", "bits"), "key").repartition(parts, "cell").sortWithinPartitions("cell", "key")
     close = stored(dealt.select("cell", "key", "size", "bits").mapInArrow(_told_apart(num, den), "cell long, part long, key long"), "jaccard-close")
     cells = close.select(F.xxhash64("cell", "part").alias("cell"), "key").join(sets.select("key", "tokens"), "key")
     cells = cells.repartition(parts, "cell").sortWithinPartitions("cell", "key")
     links = cells.select("cell", "key", "tokens").mapInArrow(_compared(num, den), "a long, b long")
-    links = links.unionByName(star.filter("linked").select(F.col("lead").alias("a"), F.col("key").alias("b")))
     # Written, so that the join with many equal sets below can be split.
     root = stored(components(links), "jaccard-roots")
-    discard(groups, sets, close, star, met, sizes)
+    discard(groups, sizes, sets, close)
     known = members.join(root.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.when(F.col("n_shingles") > 0, F.coalesce("root", "key")))
     return known.select("id", "text_hash", "n_shingles", "root")
 
@@ -319,27 +306,6 @@ def _tokens(docs: DataFrame, members: DataFrame, keys: DataFrame, width: int) ->
     return stored(texts.select("key", "text").mapInArrow(_sets(width), "key long, tokens binary, bits binary"), "jaccard-sets")
 
 
-def _star(groups: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """lead, key, linked: each set of a group, compared exactly with the group's own set."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at, mine, linked = None, None, []
-            for lead, theirs, own in zip(batch.column("lead").to_pylist(), batch.column("lead_tokens"), batch.column("tokens"), strict=True):
-                if lead != at:
-                    at, mine = lead, unpacked_set(theirs.as_py())
-                other = unpacked_set(own.as_py())
-                small, large = (mine, other) if len(mine) <= len(other) else (other, mine)
-                place = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                linked.append(int((large[place] == small).sum()) * (num + den) >= num * (len(mine) + len(other)))
-            yield pa.RecordBatch.from_arrays([batch.column("lead"), batch.column("key"), pa.array(linked, pa.bool_())], ["lead", "key", "linked"])
-        release_memory()
-
-    pairs = groups.filter("key <> lead").join(sets.select("key", "tokens"), "key")
-    pairs = pairs.join(sets.select(F.col("key").alias("lead"), F.col("tokens").alias("lead_tokens")), "lead")
-    return stored(pairs.select("lead", "key", "tokens", "lead_tokens").mapInArrow(run, "lead long, key long, linked boolean"), "jaccard-star")
-
-
 def spanning_links(sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
     """Links of a spanning forest of some sets (ascending tokens): enough for all that link, directly or not."""
     n = len(sets)

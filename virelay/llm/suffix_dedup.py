@@ -480,20 +480,30 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.array([len(x) // 16 for x in data], np.int64)
         hashed = np.frombuffer(b"".join(data), "<i8").reshape(-1, 2)
         nth = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        k1, k2, start = (np.repeat(batch.column(c).to_numpy(), n) for c in ("k1", "k2", "start"))
-        yield pa.RecordBatch.from_arrays([*map(pa.array, (np.ascontiguousarray(hashed[:, 0]), np.ascontiguousarray(hashed[:, 1]), k1, k2, start - nth))], ["b1", "b2", "k1", "k2", "start"])
+        alone, k1, k2, start = (np.repeat(batch.column(c).to_numpy(zero_copy_only=False), n) for c in ("alone", "k1", "k2", "start"))
+        yield pa.RecordBatch.from_arrays([*map(pa.array, (alone.astype(bool), np.ascontiguousarray(hashed[:, 0]), np.ascontiguousarray(hashed[:, 1]), k1, k2, start - nth))], ["alone", "b1", "b2", "k1", "k2", "start"])
 
 
 def _hot_ranges(hot: DataFrame, length: int) -> DataFrame:
-    """k1, k2, first, last of the strings at hot anchors that recur, by 128 bits of hash; no task gathers a group."""
+    """k1, k2, first, last of the strings at hot anchors that recur, by 128 bits of hash; no task gathers a group.
 
-    def recurs(rows: DataFrame) -> DataFrame:
-        several = stored(rows.groupBy("b1", "b2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("b1", "b2"), "recurring")
-        return rows.join(several, ["b1", "b2"], "left_semi")
-
-    bands = stored(hot.mapInArrow(_bands(length), BANDS), "bands")
-    strings = stored(recurs(bands).select("k1", "k2", "start", "strings").mapInArrow(_strings, "b1 long, b2 long, k1 long, k2 long, start long"), "strings")
-    return recurs(strings).select("k1", "k2", F.col("start").alias("first"), F.col("start").alias("last"))
+    Bands alike in all their strings recur whole, and one of them stands for the
+    others; only the strings of bands that differ, but share what a band has in
+    common, are looked at one by one.
+    """
+    whole = [F.xxhash64("strings").alias("w1"), F.xxhash64(F.lit("band"), "strings").alias("w2")]
+    bands = stored(hot.mapInArrow(_bands(length), BANDS).select("*", *whole), "bands")
+    key = ["b1", "b2", "w1", "w2"]
+    kinds = stored(bands.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.first(F.struct("k1", "k2", "start", "strings")).alias("one")), "band-kinds")
+    alike = bands.join(stored(kinds.filter("n > 1").select(*key), "recurring"), key, "left_semi")
+    told = alike.select("k1", "k2", (F.col("start") - F.octet_length("strings") / 16 + 1).cast("long").alias("first"), F.col("start").alias("last"))
+    several = stored(kinds.groupBy("b1", "b2").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1").select("b1", "b2"), "recurring")
+    near = kinds.join(several, ["b1", "b2"], "left_semi").select((F.col("n") == 1).alias("alone"), "one.*")
+    strings = stored(near.mapInArrow(_strings, "alone boolean, b1 long, b2 long, k1 long, k2 long, start long"), "strings")
+    twice = stored(strings.groupBy("b1", "b2").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("b1", "b2"), "recurring")
+    # Those that stand for others have been told with them.
+    single = strings.filter("alone").join(twice, ["b1", "b2"], "left_semi").select("k1", "k2", F.col("start").alias("first"), F.col("start").alias("last"))
+    return told.unionByName(single)
 
 
 def removed_spans(n: int, firsts: list[int], lasts: list[int], length: int) -> np.ndarray:

@@ -55,3 +55,16 @@ def test_rank_sort_of_all_orders(spark, duck, data):
     got = plans.QUERIES["rank_sort"](spark, data).collect()
     (n,) = duck.execute("select count(*) from orders").fetchone()
     assert n > 1000 and [r.place for r in got] == list(range(1, n + 1))
+
+
+def test_cut_offs_between_two_cents(spark, tmp_path):
+    """Some quotients lie, as doubles, just below half a cent that SQL rounds up; hits of the lower cent miss such a cut-off."""
+    con = duckdb.connect()
+    con.execute("create table part as select 3 * i as p_partkey, ([997.9, 994.3, 992.9, 919.3, 902.9, 995.1, 900.5, 999.9, 950.0])[i + 1]::double as p_retailprice from range(9) r(i)")
+    con.execute("""create table lineitem as select row_number() over () as l_orderkey, p_partkey as l_partkey, 1::bigint as l_suppkey, n::int as l_linenumber, q::double as l_quantity,
+        round((floor(p_retailprice * 5) + c) / 100 * 499, 2) as l_extendedprice from part, range(7) l(n), range(4, 6) t(q), range(2) u(c)""")
+    for t in ("part", "lineitem"):
+        con.execute(f"copy {t} to '{tmp_path}/{t}.parquet'")
+    got = plans.QUERIES["hit_acceptance"](spark, str(tmp_path)).toPandas()
+    assert {r.score for r in got.itertuples() if (r.db, r.hmm_id) == ("Pfam", "H0")} == {49.9}
+    pd.testing.assert_frame_equal(plain(got), plain(con.execute(plans.SQL["hit_acceptance"]).df()))

@@ -34,6 +34,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def cents(number):
+    """Two decimals as SQL rounds them, by the hundredfold: 997.9 / 20 is 49.894999999999996 as a double, 4989.5 times a hundred; Spark's rounding takes the digits."""
+    return F.round(number * 100, 0) / 100
+
+
 def query(sql: str | None = None):
     """Registers a function as the query of its name, with its SQL."""
 
@@ -165,11 +170,11 @@ def raw_hits_of(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     db = F.when(line == 0, "KEGG").when(line == 1, "FOAM").when(line == 2, "Pfam").when(line == 3, "dbCAN").when(line == 4, "METABOLIC").otherwise("PHROG")
     part = lambda c: F.concat(F.lit("H"), (F.col(c) % 50).cast("string"))
     raw = table(spark, sf_dir, "lineitem").select(
-        db.alias("db"), F.col("l_suppkey").alias("sequence"), part("l_partkey").alias("hmm_id"), F.pow(F.lit(10.0), -F.col("l_quantity")).alias("evalue"), F.round(F.col("l_extendedprice") / 499, 2).alias("score"),
+        db.alias("db"), F.col("l_suppkey").alias("sequence"), part("l_partkey").alias("hmm_id"), F.pow(F.lit(10.0), -F.col("l_quantity")).alias("evalue"), cents(F.col("l_extendedprice") / 499).alias("score"),
         F.lit(100).alias("length"), F.lit(1).alias("start"), (20 + F.col("l_partkey") % 80).alias("end"), "l_orderkey", "l_linenumber",
     )
     parts = table(spark, sf_dir, "part").filter("p_partkey % 3 = 0 and p_partkey % 50 < 30")
-    cuts = parts.select(F.explode(F.array(*[F.lit(x) for x in ("KEGG", "FOAM", "Pfam", "METABOLIC")])).alias("db"), part("p_partkey").alias("hmm_id"), F.round(F.col("p_retailprice") / 20, 2).alias("value"))
+    cuts = parts.select(F.explode(F.array(*[F.lit(x) for x in ("KEGG", "FOAM", "Pfam", "METABOLIC")])).alias("db"), part("p_partkey").alias("hmm_id"), cents(F.col("p_retailprice") / 20).alias("value"))
     return raw, cuts
 
 
